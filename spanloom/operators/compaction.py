@@ -16,35 +16,38 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanloom.functions.arrow_groups import boundaries, whole_groups
+from spanloom.session import materialize
 
 #: Bytes that a consolidated file should have.
 TARGET_BYTES = 64 << 20
 #: Lines of one file that are framed together; a file of more lines becomes several frames.
 FRAME_LINES = 50_000
+#: Files of more lines than that are broadcast up to this number, else joined by shuffle.
+BROADCAST_FILES = 10_000
 
 FRAMES = "file_id long, part int, records long, raw_bytes long, crc long, frame binary, dropped array<long>"
 FILES = "bin long, frames long, records long, raw_bytes long, bytes long, crc long, valid boolean, dropped array<long>, content binary"
 
 
 def _frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Frames from rows sorted by file, part and key; a row without line marks its key's lines in the file as copies."""
     packer = zstandard.ZstdCompressor(level=1, write_checksum=True)
     for table in whole_groups(batches, ["file_id", "part"]):
         starts = boundaries(table, ["file_id", "part"])
-        ends = [*starts[1:].tolist(), table.num_rows]
         again = np.ones(table.num_rows, bool)
         again[boundaries(table, ["file_id", "part", "key"])] = False
         again &= pc.is_valid(table["key"]).to_numpy()
-        keep = pc.fill_null(table["keep"], True).to_numpy() & ~again
+        mark = pc.is_null(table["line"]).to_numpy()
         keys, lines = table["key"].to_pylist(), table["line"].to_pylist()
         rows = []
-        for a, b in zip(starts.tolist(), ends, strict=True):
-            kept = [lines[i] for i in range(a, b) if keep[i]]
+        for a, b in zip(starts.tolist(), [*starts[1:].tolist(), table.num_rows], strict=True):
+            kept = [lines[i] for i in range(a, b) if not (again[i] or mark[i])]
+            dropped = [keys[i] for i in range(a, b) if again[i]]
             raw = b"".join(x.encode() + b"\n" for x in kept)
-            dropped = [keys[i] for i in range(a, b) if not keep[i]]
             rows.append((len(kept), len(raw), zlib.crc32(raw), packer.compress(raw) if kept else b"", dropped))
         first = table.take(pa.array(starts))
         columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())), strict=True)]
@@ -55,16 +58,33 @@ def frames_of_records(records: DataFrame, key: str, file_id: str, written_at: st
     """One zstandard frame per tiny file (and part, where a file holds very many lines).
 
     Of the rows that share a key the earliest by (written_at, file_id) stays, once; the keys of
-    the others are listed in dropped. A null key is no identity: such rows all stay. A null
-    file_id counts as a file of its own. The line of a record is the JSON text of body.
+    the others are listed in dropped. A null key is no identity: such rows all stay. Rows of a
+    null file_id count as one file. The line of a record is the JSON text of body. Records are
+    shuffled once, to their file; what to drop comes as marks by file and key, made from the
+    keys alone.
     """
-    ids = records.select(F.col(key).alias("key"), F.struct(F.col(written_at), F.col(file_id)).alias("_at"))
-    first = ids.where("key is not null").groupBy("key").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
-    lines = records.select(F.col(key).alias("key"), F.col(file_id).alias("file_id"), F.struct(F.col(written_at), F.col(file_id)).alias("_at"), F.to_json(F.struct(key, *body)).alias("line"))
-    rows_of = records.groupBy(F.col(file_id).alias("file_id")).agg(F.ceil(F.count(F.lit(1)) / FRAME_LINES).cast("int").alias("_parts")).where("_parts > 1")
-    part = F.pmod(F.xxhash64(F.coalesce(F.col("key"), F.xxhash64("line"))), F.coalesce(F.col("_parts"), F.lit(1))).cast("int")
-    marked = lines.join(first, "key", "left").join(rows_of, "file_id", "left").select("file_id", part.alias("part"), "key", F.coalesce(F.col("_at") == F.col("_first"), F.lit(True)).alias("keep"), "line")
-    return marked.repartition("file_id", "part").sortWithinPartitions("file_id", "part", "key").mapInArrow(_frames, FRAMES)
+    at = F.struct(F.col(written_at).alias("at"), F.col(file_id).alias("file"))
+    ids = records.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), F.col(file_id).alias("file_id"), at.alias("_at"))
+    first = ids.groupBy("key").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").select("key", F.col("_first.file").alias("_stays"))
+    marks = ids.join(first, "key").where(~F.col("file_id").eqNullSafe(F.col("_stays"))).select("file_id", "key").distinct()
+
+    large = records.groupBy(F.col(file_id).alias("file_id")).agg(F.ceil(F.count(F.lit(1)) / FRAME_LINES).cast("int").alias("_parts")).where("_parts > 1")
+    large = materialize(large, "large-files")
+    many = large.count()
+
+    def with_part(rows: DataFrame, spread: Column) -> DataFrame:
+        if not many:
+            return rows.withColumn("part", F.lit(0))
+        parts = F.broadcast(large) if many <= BROADCAST_FILES else large
+        return rows.join(parts, "file_id", "left").withColumn("part", F.pmod(spread, F.coalesce("_parts", F.lit(1))).cast("int")).drop("_parts")
+
+    wide = records.select(F.col(file_id).alias("file_id"), F.col(key).alias("key"), F.col(written_at).alias("at"), F.struct(key, *body).alias("body"))
+    wide = with_part(wide, F.coalesce(F.xxhash64("key"), F.xxhash64("body")) if many else F.lit(0))
+    marked = with_part(marks, F.xxhash64("key")).select("file_id", "key", F.lit(None).cast(wide.schema["at"].dataType).alias("at"), F.lit(None).cast(wide.schema["body"].dataType).alias("body"), "part")
+    rows = wide.unionByName(marked).repartition("file_id", "part")
+    # a mark has no time and sorts before the lines of its key
+    rows = rows.sortWithinPartitions("file_id", "part", "key", F.col("body").isNotNull(), "at").select("file_id", "part", "key", F.to_json("body").alias("line"))
+    return rows.mapInArrow(_frames, FRAMES)
 
 
 def _joined(with_content: bool):
