@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spanloom.llm import mixing, splits, tokenizer
+from spanloom.llm import abuse, mixing, splits, tokenizer
 from spanloom.session import table
 
 
@@ -32,7 +32,19 @@ def p7_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.reached(p7_mix(spark, d), table(spark, d, "mix_targets"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_splits, p2_shares, p6_ids, p7_mix, p7_shares)}
+def p8_scores(spark: SparkSession, d: str) -> DataFrame:
+    return abuse.scores(table(spark, d, "documents"), ["doc_id", "source"])
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return p8_scores(spark, d).where(f"score >= {abuse.THRESHOLD}").select("doc_id")
+
+
+def p8_rates(spark: SparkSession, d: str) -> DataFrame:
+    return abuse.rates(p8_scores(spark, d))
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p2_splits, p2_shares, p6_ids, p7_mix, p7_shares, p8_found, p8_scores, p8_rates)}
 
 ORACLES = {
     "p2_found": r"""
