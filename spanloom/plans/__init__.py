@@ -1,0 +1 @@
+"""Whole pipelines, and the queries registered with the driver."""

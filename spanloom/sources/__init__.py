@@ -1,0 +1 @@
+"""Readers of the files that recordings, annotations and results are kept in."""
