@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spanloom.session import materialize
+
 #: Entities with more distinct starts than this are cut into blocks.
 BLOCK_ROWS = 500_000
 #: Blocks of such an entity.
@@ -27,19 +29,43 @@ def to_ms(seconds: Column) -> Column:
     return F.when(usable, F.round(seconds * 1000).cast("long"))
 
 
-def _with_block(starts: DataFrame, keys: list[str], block_rows: int) -> DataFrame:
-    hot = starts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > block_rows)
+def _opened(starts: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with the end reached before them and the start of the period they lie in."""
+    order = Window.partitionBy(*keys).orderBy("_start")
+    reach = starts.withColumn("_reach", F.max("_stop").over(order.rowsBetween(Window.unboundedPreceding, -1)))
+    marked = reach.withColumn("_open", _open())
+    return marked.withColumn("_period", F.max("_open").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+
+
+def _open() -> Column:
+    return F.when(F.col("_reach").isNull() | (F.col("_start") > F.col("_reach")), F.col("_start"))
+
+
+def _opened_by_blocks(starts: DataFrame, keys: list[str], hot: DataFrame) -> DataFrame:
+    """The same, sorting no more than a block at once; ends and periods are carried over blocks."""
     cut = F.percentile_approx("_start", [i / BLOCKS for i in range(1, BLOCKS)], 10_000)
     cuts = starts.join(hot, keys, "left_semi").groupBy(*keys).agg(cut.alias("_cuts"))
-    block = F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col("_start"))), F.lit(0))
-    return starts.join(cuts, keys, "left").withColumn("_block", F.when(F.col("_cuts").isNull(), 0).otherwise(block)).drop("_cuts")
+    block = F.when(F.col("_cuts").isNull(), 0).otherwise(F.size(F.filter("_cuts", lambda c: c < F.col("_start"))))
+    starts = materialize(starts.join(cuts, keys, "left").withColumn("_block", block).drop("_cuts"), "blocks")
+
+    order = Window.partitionBy(*keys, "_block").orderBy("_start")
+    before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    ends = starts.groupBy(*keys, "_block").agg(F.max("_stop").alias("_end"))
+    carried = ends.select(*keys, "_block", F.max("_end").over(before).alias("_carry"))
+    inside = F.max("_stop").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    reach = starts.withColumn("_inside", inside).join(carried, [*keys, "_block"]).withColumn("_reach", F.greatest("_inside", "_carry"))
+    marked = materialize(reach.drop("_inside", "_carry").withColumn("_open", _open()), "opened")
+    opened = marked.groupBy(*keys, "_block").agg(F.max("_open").alias("_last"))
+    still = opened.select(*keys, "_block", F.max("_last").over(before).alias("_from_before"))
+    own = F.max("_open").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    return marked.withColumn("_own", own).join(still, [*keys, "_block"]).withColumn("_period", F.coalesce("_own", "_from_before"))
 
 
 def periods_and_gaps(intervals: DataFrame, keys: list[str], start: str, stop: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(keys, kind, from, to): kind is period or gap; touching intervals belong together.
 
     Rows with a null key, start or stop, or a stop not after the start, don't count. Ties and
-    repeated rows change nothing. An entity without counting rows gives no row; an empty table
+    repeated rows change nothing. The distinct starts are written once to the shared folder. An entity without counting rows gives no row; an empty table
     an empty one. Further columns are left out; keys keep their names. start and stop may be
     integers or doubles without NaN.
     """
@@ -47,25 +73,11 @@ def periods_and_gaps(intervals: DataFrame, keys: list[str], start: str, stop: st
     for key in keys:
         usable &= F.col(key).isNotNull()
     rows = intervals.where(usable).select(*keys, F.col(start).alias("_start"), F.col(stop).alias("_stop"))
-    starts = _with_block(rows.groupBy(*keys, "_start").agg(F.max("_stop").alias("_stop")), keys, block_rows)
-
-    by_block = Window.partitionBy(*keys, "_block").orderBy("_start")
-    inside = by_block.rowsBetween(Window.unboundedPreceding, -1)
-    before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-
-    ends = starts.groupBy(*keys, "_block").agg(F.max("_stop").alias("_end"))
-    carried = ends.select(*keys, "_block", F.max("_end").over(before).alias("_carry"))
-    reach = starts.withColumn("_inside", F.max("_stop").over(inside)).join(carried, [*keys, "_block"])
-    reach = reach.withColumn("_reach", F.greatest("_inside", "_carry"))
-    opens = F.col("_reach").isNull() | (F.col("_start") > F.col("_reach"))
-    marked = reach.withColumn("_open", F.when(opens, F.col("_start")))
-
-    opened = marked.groupBy(*keys, "_block").agg(F.max("_open").alias("_last"))
-    still = opened.select(*keys, "_block", F.max("_last").over(before).alias("_from_before"))
-    own = F.max("_open").over(by_block.rowsBetween(Window.unboundedPreceding, 0))
-    placed = marked.withColumn("_own", own).join(still, [*keys, "_block"]).withColumn("_period", F.coalesce("_own", "_from_before"))
+    starts = materialize(rows.groupBy(*keys, "_start").agg(F.max("_stop").alias("_stop")), "starts")
+    hot = starts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > block_rows)
+    placed = _opened(starts, keys) if hot.isEmpty() else _opened_by_blocks(starts, keys, hot)
     periods = placed.groupBy(*keys, F.col("_period").alias("from")).agg(F.max("_stop").alias("to"))
-    gaps = marked.where(F.col("_open").isNotNull() & F.col("_reach").isNotNull())
+    gaps = placed.where(F.col("_open").isNotNull() & F.col("_reach").isNotNull())
     columns = [*keys, "kind", "from", "to"]
     return (
         periods.withColumn("kind", F.lit("period")).select(*columns)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from spanloom import schema
 from spanloom.operators import annotate, dsp, signals
+from spanloom.session import materialize
 
 
 @dataclass(frozen=True)
@@ -27,17 +28,21 @@ class MasterConfig:
 
 
 def build_master(rows: DataFrame, layouts: DataFrame, config: MasterConfig) -> DataFrame:
-    """Labelled windows in file time from annotation rows in file time; one lazy plan.
+    """Labelled windows in file time from annotation rows in file time.
+
+    Rows in session time, and all rows before overlaps are resolved, are written once to the
+    shared folder, as several steps read them.
 
     rows have the master schema and _seq; layouts come from session_layouts.
     """
     df = rows if config.tags is None else rows.where(F.col("label").isin(*config.tags))
-    df = annotate.to_session_time(df, layouts)
+    df = materialize(annotate.to_session_time(df, layouts), "session-rows")
     out = annotate.add_preictal(df, config.preictal, config.buffer, config.postictal)
     if config.with_postictal and config.postictal is not None:
         out = out.unionByName(annotate.postictal_rows(df, config.postictal, config.preictal))
     if config.with_background:
         out = out.unionByName(annotate.background_rows(df, layouts, config.window, config.background_stride))
+    out = materialize(out, "labelled-rows")
     out = annotate.chop(annotate.resolve_overlaps(out), config.window, config.preictal_stride or config.background_stride)
     return annotate.to_file_time(out, layouts).select(*schema.MASTER.fieldNames())
 

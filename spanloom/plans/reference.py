@@ -10,7 +10,7 @@ from spanloom.functions import channels, labels, samples
 from spanloom.operators import annotate, dsp, intervals, match, signals, windows
 from spanloom.plans import adapters as A
 from spanloom.plans.pipeline import MasterConfig, build_master, session_signals
-from spanloom.session import shared_dir, table
+from spanloom.session import materialize, shared_dir, table
 from spanloom.sinks import tables
 from spanloom.sources import annotations as source
 
@@ -61,7 +61,7 @@ def allow_tag_filter(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-with r as (select distinct edf_path, string_split(edf_path, '/') as p, list_transform(string_split(lower(edf_path), '/'), x -> x) as l from recordings where edf_path is not null),
+with r as (select distinct edf_path, string_split(edf_path, '/') as p, list_transform(string_split(lower(edf_path), '/'), lambda x: x) as l from recordings where edf_path is not null),
 s as (select *, case when list_contains(l, 'train') then 'train' when list_contains(l, 'dev') then 'dev' when list_contains(l, 'eval') then 'eval' else 'unknown' end as split from r),
 a as (select *, len(l) - list_position(list_reverse(l), split) + 1 as pos from s where split <> 'unknown'),
 m as (select *, p[pos + 1] as patient, p[pos + 2] as session, p[pos + 3] as folder from a where pos + 3 < len(p)),
@@ -146,7 +146,7 @@ k as (select distinct d0.csv_bi_path, d0.duration, session_key from d0 join reco
 c as (select *, round(coalesce(sum(duration) over (partition by session_key order by csv_bi_path rows between unbounded preceding and 1 preceding), 0), 6) as o from k),
 q as (select csv_bi_path, regexp_extract_all(t, '(?:^|,)("(?:[^"]|"")*"|[^",]*)', 1) as f, t from e where line_no > 6 and regexp_full_match(t, '([^",]*|"([^"]|"")*")(,([^",]*|"([^"]|"")*"))*') and not starts_with(t, '#')),
 v as (select distinct csv_bi_path, trim(f[2], '" ' || chr(9)) as a, trim(f[3], '" ' || chr(9)) as b from q where len(f) = 5 and trim(replace(trim(f[4], '"'), '""', '"')) = 'seiz'),
-n as (select distinct csv_bi_path, a::double as start_time, b::double as end_time from v where regexp_full_match(a, '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?') and regexp_full_match(b, '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?'))
+n as (select distinct csv_bi_path, try_cast(a as double) as start_time, try_cast(b as double) as end_time from v where regexp_full_match(a, '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?') and regexp_full_match(b, '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?'))
 select session_key, n.csv_bi_path, start_time, end_time, round(o + start_time, 6) as session_start, round(o + end_time, 6) as session_end from n join c on n.csv_bi_path = c.csv_bi_path where start_time >= 0 and end_time >= start_time""")
 def session_metadata(spark: SparkSession, d: str) -> DataFrame:
     out = source.session_events(table(spark, d, "csv_bi"), table(spark, d, "recordings").where("csv_bi_path is not null"))
@@ -207,9 +207,9 @@ def background_windows(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _mixed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    rows, lay = A.session_rows(spark, d), A.layouts(spark, d)
+    rows, lay = materialize(A.session_rows(spark, d), "session-rows"), A.layouts(spark, d)
     mixed = annotate.add_preictal(rows, A.PREICTAL, A.BUFFER, A.POSTICTAL).unionByName(annotate.postictal_rows(rows, A.POSTICTAL, A.PREICTAL))
-    return mixed.unionByName(annotate.background_rows(rows, lay, A.WINDOW)), lay
+    return materialize(mixed.unionByName(annotate.background_rows(rows, lay, A.WINDOW)), "labelled-rows"), lay
 
 
 @query(f"with {A.ALL} select {_OUT} from res")
@@ -317,14 +317,14 @@ def _measured(df: DataFrame) -> DataFrame:
 
 @query(f"""
 with {_SEG}, p as (select segment_id, i * 32 as seg_start_sample, segment[i * 32 + 1 : i * 32 + 32] as x from (select *, unnest(range(0, case when len(segment) >= 32 then (len(segment) - 32) // 32 + 1 else 0 end)) as i from sg))
-select segment_id, seg_start_sample, len(x) as n, round(coalesce(list_sum(list_transform(x, v -> case when abs(v::double) < 1e6 then v::double else 0.0 end)), 0), 3) as total from p""")
+select segment_id, seg_start_sample, len(x) as n, round(coalesce(list_sum(list_transform(x, lambda v: case when abs(v::double) < 1e6 then v::double else 0.0 end)), 0), 3) as total from p""")
 def array_windows_fixed(spark: SparkSession, d: str) -> DataFrame:
     return _measured(signals.segment_fixed(_segments(spark, d).select("segment_id", "segment"), "segment", 32))
 
 
 @query(f"""
 with {_SEG}, p as (select segment_id, i * 16 as seg_start_sample, segment[i * 16 + 1 : i * 16 + 64] as x from (select *, unnest(range(0, case when len(segment) >= 64 then (len(segment) - 64) // 16 + 1 else 0 end)) as i from sg))
-select segment_id, seg_start_sample, len(x) as n, round(coalesce(list_sum(list_transform(x, v -> case when abs(v::double) < 1e6 then v::double else 0.0 end)), 0), 3) as total from p""")
+select segment_id, seg_start_sample, len(x) as n, round(coalesce(list_sum(list_transform(x, lambda v: case when abs(v::double) < 1e6 then v::double else 0.0 end)), 0), 3) as total from p""")
 def array_windows_sliding(spark: SparkSession, d: str) -> DataFrame:
     return _measured(signals.segment_fixed(_segments(spark, d).select("segment_id", "segment"), "segment", 64, 16))
 
@@ -351,7 +351,7 @@ _PAIRS = ", ".join(f"({i}, '{a}', '{b}')" for i, (a, b) in enumerate(schema.PAIR
 
 @query(f"""
 with {A.VEC}, pr(pair, a, b) as (values {_PAIRS}), x as (select l.recording, pair, a || '-' || b as name, l.samples as sa, r.samples as sb from pr join vec l on l.channel = a join vec r on r.channel = b and r.recording = l.recording)
-select recording, pair, name, list_transform(range(1, len(sa) + 1), i -> round(sa[i] - sb[i], 6)) as samples from x""")
+select recording, pair, name, list_transform(range(1, len(sa) + 1), lambda i: round(sa[i] - sb[i], 6)) as samples from x""")
 def bipolar_montage(spark: SparkSession, d: str) -> DataFrame:
     out = signals.montage(A.channels_of_vectors(spark, d), ["recording"])
     return out.withColumn("samples", F.transform("samples", lambda x: F.round(x, 6)))
@@ -359,12 +359,12 @@ def bipolar_montage(spark: SparkSession, d: str) -> DataFrame:
 
 # Artifact masks
 
-_PROBS = "list_value(list_transform(samples[1:3], v -> abs(v)), list_transform(samples[4:6], v -> abs(v)))"
+_PROBS = "list_value(list_transform(samples[1:3], lambda v: abs(v)), list_transform(samples[4:6], lambda v: abs(v)))"
 _MASK = f"""
 pb as (select *, {_PROBS} as probs from vec),
-fl2 as (select *, list_transform(probs, p -> list_position(p, list_max(p)) > 1) as flag from pb),
-mk as (select *, list_transform(range(0, 64), i -> coalesce(flag[i // 32 + 1], false)) as mask from fl2)"""
-_DOTS = "dt as (select recording, channel, samples, list_transform(samples, v -> v > 0.1) as mask from vec)"
+fl2 as (select *, list_transform(probs, lambda p: list_position(p, list_max(p)) > 1) as flag from pb),
+mk as (select *, list_transform(range(0, 64), lambda i: coalesce(flag[i // 32 + 1], false)) as mask from fl2)"""
+_DOTS = "dt as (select recording, channel, samples, list_transform(samples, lambda v: v > 0.1) as mask from vec)"
 
 
 def _probs(df: DataFrame) -> DataFrame:
@@ -381,12 +381,12 @@ def _dotted(spark: SparkSession, d: str) -> DataFrame:
     return A.channels_of_vectors(spark, d).withColumn("mask", F.transform("samples", lambda v: v > 0.1))
 
 
-@query(f"with {A.VEC}, {_MASK} select recording, channel, list_transform(mask, m -> m::int) as mask from mk")
+@query(f"with {A.VEC}, {_MASK} select recording, channel, list_transform(mask, lambda m: m::int) as mask from mk")
 def artifact_mask(spark: SparkSession, d: str) -> DataFrame:
     return _masked(spark, d).select("recording", "channel", F.transform("mask", lambda m: m.cast("int")).alias("mask"))
 
 
-@query(f"with {A.VEC}, {_MASK} select recording, channel, list_transform(range(1, 65), i -> case when mask[i] then 0.0 else round(samples[i], 6) end) as samples from mk")
+@query(f"with {A.VEC}, {_MASK} select recording, channel, list_transform(range(1, 65), lambda i: case when mask[i] then 0.0 else round(samples[i], 6) end) as samples from mk")
 def zero_mask(spark: SparkSession, d: str) -> DataFrame:
     fixed = signals.repair(_masked(spark, d), "samples", "mask", "zero")
     return fixed.select("recording", "channel", F.transform("samples", lambda x: F.round(x, 6)).alias("samples"))
@@ -415,7 +415,7 @@ def artifact_fraction(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(signals.artifact_fraction(_probs(A.channels_of_vectors(spark, d)), ["recording"]), "artifact_fraction")
 
 
-@query(f"with {A.VEC}, {_DOTS} select recording, round(100 * avg(list_sum(list_transform(mask, m -> m::int)) / 64.0), 6) as percent_flagged, count(*) filter (where list_bool_and(mask)) as fully_flagged from dt group by 1")
+@query(f"with {A.VEC}, {_DOTS} select recording, round(100 * avg(list_sum(list_transform(mask, lambda m: m::int)) / 64.0), 6) as percent_flagged, count(*) filter (where list_bool_and(mask)) as fully_flagged from dt group by 1")
 def percent_flagged(spark: SparkSession, d: str) -> DataFrame:
     share = F.size(F.filter("mask", lambda m: m)) / F.size("mask")
     return _dotted(spark, d).groupBy("recording").agg(F.round(F.avg(share) * 100, 6).alias("percent_flagged"), F.count_if(F.forall("mask", lambda m: m)).alias("fully_flagged"))
@@ -424,7 +424,7 @@ def percent_flagged(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""
 with {A.ANN}, {A.VEC}, {_DOTS}, e as (select n as master_id, n % 100 as recording, 'FP1' as channel, label, start_time / 40 as s, stop_time / 40 as t from ann),
 c as (select e.*, mask, least(greatest(round_even(s * 16, 0)::int, 0), 64) as a, least(greatest(round_even(t * 16, 0)::int, 0), 64) as b from e join dt using (recording, channel))
-select master_id, label, a as first_sample, b as last_sample, round(100.0 * list_sum(list_transform(mask[a + 1 : b], m -> m::int)) / (b - a), 1) as overlap_percent, lower(label) = 'bckg' as is_background from c where b > a""")
+select master_id, label, a as first_sample, b as last_sample, round(100.0 * list_sum(list_transform(mask[a + 1 : b], lambda m: m::int)) / (b - a), 1) as overlap_percent, lower(label) = 'bckg' as is_background from c where b > a""")
 def event_mask_overlap(spark: SparkSession, d: str) -> DataFrame:
     n = F.col("_seq.n")
     events = A.annotations(spark, d).select(n.alias("master_id"), (n % 100).alias("recording"), F.lit("FP1").alias("channel"), "label", (F.col("start_time") / 40).alias("start_time"), (F.col("stop_time") / 40).alias("stop_time"))
@@ -456,7 +456,7 @@ def channel_match_fuzzy(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"""
 with {A.ANN}, {A.VEC}, w as (select distinct n % 100 as recording, channel as name from ann where contains(channel, '-')), s as (select *, split_part(name, '-', 1) as a, split_part(name, '-', 2) as b from w)
-select s.recording, name, list_transform(range(1, 65), i -> round(l.samples[i] - r.samples[i], 6)) as samples from s join vec l on l.recording = s.recording and l.channel = a join vec r on r.recording = s.recording and r.channel = b""")
+select s.recording, name, list_transform(range(1, 65), lambda i: round(l.samples[i] - r.samples[i], 6)) as samples from s join vec l on l.recording = s.recording and l.channel = a join vec r on r.recording = s.recording and r.channel = b""")
 def derived_channels(spark: SparkSession, d: str) -> DataFrame:
     wanted = A.annotations(spark, d).select((F.col("_seq.n") % 100).alias("recording"), "channel").distinct()
     out = match.derive_missing(wanted, A.channels_of_vectors(spark, d), ["recording"])
@@ -478,11 +478,11 @@ def cv_by_bin(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""
-with recursive {A.VEC}, l as (select recording, list_sort(list_distinct(list_transform(samples, v -> round(abs(v) * 100)))) as f from vec where channel = 'FP1'),
+with recursive {A.VEC}, l as (select recording, list_sort(list_distinct(list_transform(samples, lambda v: round(abs(v) * 100)))) as f from vec where channel = 'FP1'),
 st(recording, f, i, anchor, total, n, out) as (
   select recording, f, 1, f[1], f[1], 1, []::double[] from l
   union all select recording, f, i + 1, case when f[i + 1] - anchor < 2 then anchor else f[i + 1] end, case when f[i + 1] - anchor < 2 then total + f[i + 1] else f[i + 1] end, case when f[i + 1] - anchor < 2 then n + 1 else 1 end, case when f[i + 1] - anchor < 2 then out else list_append(out, total / n) end from st where i < len(f))
-select recording, list_transform(list_append(out, total / n), x -> round(x, 6)) as freqs from st where i = len(f)""")
+select recording, list_transform(list_append(out, total / n), lambda x: round(x, 6)) as freqs from st where i = len(f)""")
 def freq_grouping(spark: SparkSession, d: str) -> DataFrame:
     rows = A.channels_of_vectors(spark, d).where("channel = 'FP1'")
     freqs = F.array_sort(F.array_distinct(F.transform("samples", lambda v: F.round(F.abs(v) * 100))))
@@ -576,7 +576,7 @@ def master_csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return _master(tables.read_master(spark, where))
 
 
-@query(f"with {A.VEC} select recording, channel, list_transform(list_filter(range(0, 64), i -> i % 7 = 0), i -> round(samples[i + 1], 6)) as samples from vec")
+@query(f"with {A.VEC} select recording, channel, list_transform(list_filter(range(0, 64), lambda i: i % 7 = 0), lambda i: round(samples[i + 1], 6)) as samples from vec")
 def decimate(spark: SparkSession, d: str) -> DataFrame:
     """Every k-th sample so that at most ten are left."""
     step = F.ceil(F.size("samples") / F.lit(10)).cast("int")
