@@ -24,7 +24,8 @@ def map_signals(df: DataFrame, column: str, f: Callable[[np.ndarray], np.ndarray
     stay as they are. The column becomes array<double>.
     """
     schema = ", ".join(f"`{x.name}` {'array<double>' if x.name == column else x.dataType.simpleString()}" for x in df.schema)
-    at = df.columns.index(column)
+    names = df.columns
+    at = names.index(column)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -43,7 +44,7 @@ def map_signals(df: DataFrame, column: str, f: Callable[[np.ndarray], np.ndarray
                     out[i] = y
             columns = list(batch.columns)
             columns[at] = pa.array(out, pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays(columns, names=df.columns)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return df.mapInArrow(work, schema)
 

@@ -68,6 +68,7 @@ def convert_verified(df: DataFrame, path: str, keys: list[str], column: str, cod
     df.withColumn(column, F.col(column).cast("array<float>")).write.mode("overwrite").option("compression", codec).parquet(path)
     back = df.sparkSession.read.parquet(path).select(*keys, F.col(column).alias("_back"))
     both = df.join(back, keys, "full_outer")
-    far = F.exists(F.arrays_zip(F.col(column).alias("a"), F.col("_back").alias("b")), lambda p: F.abs(p["a"] - p["b"]) > absolute + relative * F.abs(p["b"]))
+    near = lambda p: (p["a"].cast("float") == p["b"]) | (F.abs(p["a"] - p["b"]) <= absolute + relative * F.abs(p["b"]))
+    far = F.exists(F.arrays_zip(F.col(column).alias("a"), F.col("_back").alias("b")), lambda p: ~near(p))
     differs = (F.coalesce(F.size(column), F.lit(-1)) != F.coalesce(F.size("_back"), F.lit(-1))) | F.coalesce(far, F.lit(False))
     return both.agg(F.count(F.lit(1)).alias("rows"), (F.coalesce(F.sum(differs.cast("long")), F.lit(0)) == 0).alias("verified"), F.coalesce(F.sum(differs.cast("long")), F.lit(0)).alias("differing"))
