@@ -145,7 +145,7 @@ def _write(target: str, header_lines: int, suffix: str):
                 name = f"part-{part['bin'][0].as_py():06d}{suffix}"
                 size, crc, lines, head = 0, 0, 0, None
                 hidden = posixpath.join(root, "." + name)
-                with system.open_output_stream(hidden) as out:
+                with system.open_output_stream(hidden, compression=None) as out:
                     for content in part["content"].to_pylist():
                         if suffix != ".zst":  # boundary and header handling of plain text
                             if content and not content.endswith(b"\n"):
@@ -163,7 +163,7 @@ def _write(target: str, header_lines: int, suffix: str):
                             lines += content.count(b"\n")
                         out.write(content)
                         size, crc = size + len(content), zlib.crc32(content, crc)
-                with system.open_input_stream(hidden) as back:
+                with system.open_input_stream(hidden, compression=None) as back:
                     check, length = 0, 0
                     while chunk := back.read(1 << 22):
                         check, length = zlib.crc32(chunk, check), length + len(chunk)

@@ -293,18 +293,18 @@ def _sorted(df: DataFrame) -> DataFrame:
 
 def _with_statistics(split: DataFrame) -> DataFrame:
     """Rows of sources of many chunks with the source's statistics."""
-    same = lambda left, right: left["edf_path"].eqNullSafe(right["edf_path"]) & left["channel"].eqNullSafe(right["channel"])
 
     def add(rows: DataFrame, stats: DataFrame) -> DataFrame:
-        extra = [c for c in stats.columns if c not in SOURCE]
-        return rows.join(stats, same(rows, stats), "left").select(*[rows[c] for c in rows.columns], *[stats[c] for c in extra])
+        stats = stats.withColumnsRenamed({c: f"_{c}" for c in SOURCE})
+        same = F.col("edf_path").eqNullSafe(F.col("_edf_path")) & F.col("channel").eqNullSafe(F.col("_channel"))
+        return rows.join(stats, same, "left").drop("_edf_path", "_channel")
 
     group = "edf_path string, channel string, "
     counts = _sorted(split).mapInArrow(_value_counts, group + "value double, n long").groupBy(*SOURCE, "value").agg(F.sum("n").alias("n"))
     # distinct readings of a source are bounded by its range over its resolution
-    middle = counts.groupBy(*SOURCE).agg(F.percentile("value", F.lit(0.5), "n").alias("median"), F.sum("n").alias("readings"))
+    middle = counts.groupBy(*SOURCE).agg(F.percentile("value", F.lit(0.5), F.col("n")).alias("median"), F.sum("n").alias("readings"))
     off = add(counts, middle).withColumn("off", F.abs(F.col("value") - F.col("median")))
-    spread = off.groupBy(*SOURCE).agg((F.percentile("off", F.lit(0.5), "n") * SPREAD).alias("spread"), F.first("median").alias("median"), F.first("readings").alias("readings"))
+    spread = off.groupBy(*SOURCE).agg((F.percentile("off", F.lit(0.5), F.col("n")) * SPREAD).alias("spread"), F.first("median").alias("median"), F.first("readings").alias("readings"))
     rows = add(split, spread)
     usable = rows.where("median is not null")
     sums = _sorted(usable).mapInArrow(_partial("season"), group + "k long, a double, b double").groupBy(*SOURCE, "k").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))

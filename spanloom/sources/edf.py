@@ -95,7 +95,7 @@ class _Reader(DataSourceReader):
             return
         path = partition.value
         system = fs.FileSystem.from_uri(self.path)[0] if "://" in self.path else fs.LocalFileSystem()
-        with system.open_input_stream(path) as f:
+        with system.open_input_stream(path, compression=None) as f:
             try:
                 h = Header.read(f)
             except ValueError as e:
