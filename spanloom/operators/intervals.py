@@ -62,16 +62,18 @@ def subtract(rows: DataFrame, islands: DataFrame, keys: list[str], row_id: str,
     meets = (F.col("_a") < F.col(stop)) & (F.col("_b") > F.col(start))
     for key in keys:
         meets &= F.col(key).eqNullSafe(F.col(f"_{key}"))
-    met = rows.join(cuts, meets, "left").groupBy("_row").agg(
+    # most rows meet no island and need no grouping
+    unmet = rows.join(cuts, meets, "left_anti").where(F.col(stop) > F.col(start)).drop("_row")
+    met = rows.join(cuts, meets).groupBy("_row").agg(
         *[F.first(c, ignorenulls=False).alias(c) for c in rows.columns if c != "_row"],
-        F.array_sort(F.collect_list(F.when(F.col("_a").isNotNull(), F.struct("_a", "_b")))).alias("_cuts"),
+        F.array_sort(F.collect_list(F.struct("_a", "_b"))).alias("_cuts"),
     )
     # pieces lie between the ends of cuts, from the row's start to its stop
     begins = F.concat(F.array(F.col(start)), F.transform("_cuts", lambda c: c["_b"]))
     finishes = F.concat(F.transform("_cuts", lambda c: c["_a"]), F.array(F.col(stop)))
     pieces = F.filter(F.arrays_zip(begins.alias("a"), finishes.alias("b")), lambda p: p["b"] > p["a"])
     out = met.withColumn("_piece", F.explode(pieces)).withColumns({start: F.col("_piece.a"), stop: F.col("_piece.b")})
-    return out.drop("_row", "_cuts", "_piece")
+    return unmet.unionByName(out.drop("_row", "_cuts", "_piece"))
 
 
 def place_in_files(rows: DataFrame, layouts: DataFrame, key: str = "session_key", path: str = "edf_path") -> DataFrame:

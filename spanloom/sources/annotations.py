@@ -39,12 +39,12 @@ def read_annotations(spark: SparkSession, root: str) -> DataFrame:
     Each file's own header line says where its columns are; # begins a comment anywhere in a
     line. Files without a required column give nothing, rows whose times don't parse neither.
     """
-    whole = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(root)
+    whole = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(root, wholetext=True)
     files = whole.select(F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "/").alias("csv_path"), F.split("value", r"\r?\n").alias("_lines"))
     lines = F.filter(F.transform("_lines", lambda x: F.regexp_replace(x, r"#.*$", "")), lambda x: F.trim(x) != "")
     files = files.withColumn("_lines", lines).withColumn("_head", F.transform(F.split(F.try_element_at("_lines", F.lit(1)), ","), lambda x: F.lower(F.trim(x))))
     good = F.size(F.array_intersect("_head", F.array(*[F.lit(c) for c in REQUIRED]))) == len(REQUIRED)
-    rows = files.where(good).select("csv_path", "_head", F.explode(F.slice("_lines", 2, 2**31 - 2)).alias("_line")).withColumn("_f", F.split("_line", ","))
+    rows = files.where(good).select("csv_path", "_head", F.explode(F.slice("_lines", F.lit(2), F.greatest(F.size("_lines") - 1, F.lit(0)))).alias("_line")).withColumn("_f", F.split("_line", ","))
     field = lambda name: F.trim(F.try_element_at("_f", F.nullif(F.array_position("_head", F.lit(name)), F.lit(0)).cast("int")))
     out = rows.select("csv_path", field("channel").alias("channel"), field("start_time").try_cast("double").alias("start_time"), field("stop_time").try_cast("double").alias("stop_time"), field("label").alias("label"), field("confidence").try_cast("double").alias("confidence"))
     return out.where("start_time is not null and stop_time is not null")
