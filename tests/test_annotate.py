@@ -97,7 +97,7 @@ def test_chop_and_windows(spark):
     df = master(spark, [(0, 10, "pfnsz"), (20, 28, "fnsz"), (30, 34, "bg"), (100, 120, "pfnsz_sopbuffer", "a.edf", False)])
     counts = {r["label"]: r["n"] for r in annotate.chop(df, 4.0).groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     assert counts == {"pfnsz": 2, "fnsz": 2, "bg": 1, "pfnsz_sopbuffer": 1}
-    assert annotate.chop(df.unionByName(master(spark, [(200, 300, "bg")])), 4.0, adaptive=True).where("label = 'pfnsz'").count() == 15  # every 4 / (104 / 10) s
+    assert annotate.chop(df.unionByName(master(spark, [(200, 300, "bg")])), 4.0, adaptive=True).where("label = 'pfnsz'").count() == 16  # every 4 / (104 / 10) s
     assert [r["start_time"] for r in windows.windows_fixed(master(spark, [(0, 10, "fnsz"), (10, 12, "fnsz")]), 4.0).collect()] == [0, 4]
     out = windows.windows_adaptive(master(spark, [(0, 100, "bg"), (100, 120, "pfnsz")]), 4.0, 100.0)
     assert out.where("label = 'bg'").count() == 1 and out.where("label = 'pfnsz'").count() == 21
