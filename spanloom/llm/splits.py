@@ -2,12 +2,13 @@
 
 Persons are connected components over patient numbers and aliases. Components of the same size
 and label profile form a bundle. A flow from bundles to splits, with convex costs of leaving the
-quotas, gives whole numbers of components by bundle and split; the members of a bundle are dealt
-by the order of their hash. Only the counts of bundles reach the driver.
+quotas of sizes and labels, gives whole numbers of components by bundle and split; the members
+of a bundle are dealt by the order of their hash. Only the counts of bundles reach the driver.
 """
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +20,8 @@ PREFIXES = {"trn": "train", "vld": "dev", "tst": "eval"}
 PROPORTIONS = {"train": 0.8, "dev": 0.1, "eval": 0.1}
 #: Bundles that the driver solves at most; beyond, a profile is the component's size and main label only, then its size's power of two.
 MOST_BUNDLES = 50_000
+#: Cost of a row off a split's size quota, in rows off a label's quota; the least gain that counts, a row off one label.
+SIZE_COST, EPSILON = 1e6, 1.0
 #: Buckets of hashes in which the members of a bundle are ranked.
 RANK_BUCKETS = 256
 
@@ -92,61 +95,164 @@ def spread_sessions(sessions: DataFrame, aliases: DataFrame) -> DataFrame:
     return rows.join(over, "person", "left_semi").select("session_key").distinct()
 
 
-def allocate(bundles: list[tuple[int, int]], shares: list[float]) -> list[list[int]]:
+def _rounded_best(slope: np.ndarray, square: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whole c in 0..most with the least 2 c slope + c² square, and that cost."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        best = np.where(square > 0, -slope / square, 0.0)
+    c = np.clip(np.floor(best), 0, most)
+    up = np.clip(np.ceil(best), 0, most)
+    cost, cost_up = (2 * x * slope + x * x * square for x in (c, up))
+    return np.where(cost_up < cost, up, c).astype(np.int64), np.minimum(cost, cost_up)
+
+
+class _Flow:
+    """Components of each bundle by split, with what each split's size and labels are off their quotas."""
+
+    def __init__(self, bundles: list[tuple[int, int]], shares: list[float], labels: np.ndarray | None):
+        self.size = np.array([s for s, _ in bundles], np.int64)
+        self.count = np.array([n for _, n in bundles], np.int64)
+        self.labels = np.zeros((len(bundles), 0)) if labels is None else np.asarray(labels, float)
+        self.square = (self.labels**2).sum(1)
+        self.quota = np.array(shares) * float((self.size * self.count).sum())
+        self.wanted = np.outer(self.labels.T @ self.count, shares)
+        self.sent = np.floor(np.outer(self.count, shares) + 1e-9).astype(np.int64)
+        self.left = self.count - self.sent.sum(1)
+        self.off, self.off_labels = self._deviations()
+
+    def _deviations(self) -> tuple[np.ndarray, np.ndarray]:
+        return (self.size @ self.sent).astype(float) - self.quota, self.labels.T @ self.sent - self.wanted
+
+    def put(self, i: int, j: int, n: int) -> None:
+        self.sent[i, j] += n
+        self.off[j] += n * int(self.size[i])
+        self.off_labels[:, j] += n * self.labels[i]
+
+    def fill(self) -> None:
+        """Components that the floors leave over, the largest first, each where it costs least."""
+        for i in np.argsort(-self.size, kind="stable").tolist():
+            for _ in range(int(self.left[i])):
+                cost = SIZE_COST * (2 * self.off + self.size[i]) * self.size[i] + 2 * self.labels[i] @ self.off_labels + self.square[i]
+                self.put(i, int(np.argmin(cost)), 1)
+
+    def slopes(self, j: int, to: int) -> tuple[float, np.ndarray]:
+        return float(self.off[to] - self.off[j]), self.labels @ (self.off_labels[:, to] - self.off_labels[:, j])
+
+    def shift(self, j: int, to: int) -> bool:
+        """Components of single bundles moved on, as many at a time as lower the cost most."""
+        slope, along = self.slopes(j, to)
+        size = self.size.astype(float)
+        _, cost = _rounded_best(SIZE_COST * slope * size + along, 2 * (SIZE_COST * size * size + self.square), self.sent[:, j])
+        moved = False
+        for i in np.flatnonzero(cost < -EPSILON)[np.argsort(cost[cost < -EPSILON], kind="stable")].tolist():
+            s = float(self.size[i])
+            here = SIZE_COST * float(self.off[to] - self.off[j]) * s + float(self.labels[i] @ (self.off_labels[:, to] - self.off_labels[:, j]))
+            c, now = _rounded_best(np.array(here), np.array(2 * (SIZE_COST * s * s + self.square[i])), self.sent[i, j])
+            if now < -EPSILON:
+                self.put(i, j, -int(c))
+                self.put(i, to, int(c))
+                moved = True
+        return moved
+
+    def swap(self, j: int, to: int) -> bool:
+        """Components of one bundle exchanged for those of another: one for one, or so many that the sizes are equal."""
+        out, back = np.flatnonzero(self.sent[:, j]), np.flatnonzero(self.sent[:, to])
+        if not len(out) or not len(back):
+            return False
+        slope, along = self.slopes(j, to)
+        # of each size the bundle whose return gains most by its labels meets all others, those of one size all meet
+        by_gain = back[np.lexsort((-along[back], self.size[back]))]
+        first = by_gain[np.concatenate(([True], np.diff(self.size[by_gain]) > 0))]
+        met = [(out[at : at + max(1, 500_000 // len(first))], first) for at in range(0, len(out), max(1, 500_000 // len(first)))]
+        for size in np.intersect1d(self.size[out], self.size[back]).tolist():
+            x, y = out[self.size[out] == size], back[self.size[back] == size]
+            met += [(x[at : at + max(1, 500_000 // len(y))], y) for at in range(0, len(x), max(1, 500_000 // len(y)))]
+        best: list[tuple[float, int, int, int, int]] = []
+        for rows, others in met:
+            dots = self.labels[rows] @ self.labels[others].T
+            s, t = self.size[rows][:, None], self.size[others][None, :]
+            g = np.gcd(s, t)
+            for a, b in ((np.ones_like(g), np.ones_like(g)), (t // g, s // g)):
+                u = (a * s - b * t).astype(float)
+                most = np.minimum(self.sent[rows, j][:, None] // a, self.sent[others, to][None, :] // b)
+                square = a * a * self.square[rows][:, None] + b * b * self.square[others][None, :] - 2 * a * b * dots
+                _, cost = _rounded_best(SIZE_COST * slope * u + a * along[rows][:, None] - b * along[others][None, :], 2 * (SIZE_COST * u * u + square), most)
+                k = cost.argmin(1)
+                n = np.arange(len(rows))
+                best += [(c, i, x, p, q) for c, i, x, p, q in zip(cost[n, k].tolist(), rows.tolist(), others[k].tolist(), a[n, k].tolist(), b[n, k].tolist(), strict=True) if c < -EPSILON]
+        moved = False
+        for _, i, x, a, b in sorted(best):
+            u = float(a * self.size[i] - b * self.size[x])
+            v = a * self.labels[i] - b * self.labels[x]
+            here = SIZE_COST * float(self.off[to] - self.off[j]) * u + float(v @ (self.off_labels[:, to] - self.off_labels[:, j]))
+            c, now = _rounded_best(np.array(here), np.array(2 * (SIZE_COST * u * u + float(v @ v))), min(self.sent[i, j] // a, self.sent[x, to] // b))
+            if now < -EPSILON:
+                for k, n in ((i, a * int(c)), (x, -b * int(c))):
+                    self.put(k, j, -n)
+                    self.put(k, to, n)
+                moved = True
+        return moved
+
+    def path(self, j: int, to: int) -> bool:
+        """The residual path over all sizes, each as often as there are components, that brings both splits nearest to their quotas."""
+        want = float(self.off[j] - self.off[to]) / 2
+        sizes, n = np.unique(self.size, return_inverse=True)
+        forth, back = (np.bincount(n, self.sent[:, k], len(sizes)).astype(np.int64) for k in (j, to))
+        steps = [(int(s), sign, int(m[k])) for k, s in enumerate(sizes) for sign, m in ((1, forth), (-1, back)) if m[k]]
+        unit = int(np.gcd.reduce([s for s, *_ in steps])) if steps else 0
+        if not unit or abs(round(want / unit) * unit - want) >= abs(want) - 1e-6:
+            return False
+        # in mixed order, so that what goes forth and back stays close to 0 on the way
+        steps = [steps[k] for k in np.random.default_rng(0).permutation(len(steps))]
+        zero = 8 * max(s for s, *_ in steps)
+        via = np.full(2 * zero + 1, -1, np.int32)  # the step that first reaches each net change, after those before it
+        via[zero] = len(steps)
+        for k, (s, sign, m) in enumerate(steps):
+            front = np.flatnonzero(via >= 0)
+            for _ in range(m):
+                front = front + sign * s
+                front = front[(front >= 0) & (front < len(via))]
+                front = front[via[front] < 0]
+                if not len(front):
+                    break
+                via[front] = k
+        reached = np.flatnonzero(via >= 0)
+        at = int(reached[np.argmin(np.abs(reached - zero - want))])
+        if abs(at - zero - want) >= abs(want) - 1e-6:
+            return False
+        while at != zero:
+            size, sign, _ = steps[via[at]]
+            a, b = (j, to) if sign > 0 else (to, j)
+            i = int(np.argmax(np.where(self.size == size, self.sent[:, a], -1)))
+            self.put(i, a, -1)
+            self.put(i, b, 1)
+            at -= sign * size
+        return True
+
+
+def allocate(bundles: list[tuple[int, int]], shares: list[float], labels: np.ndarray | None = None) -> list[list[int]]:
     """Whole numbers of components by bundle and split, from (size, components) of each bundle.
 
-    The proportional flow is exact, so its floor is sent first. What is left of each bundle is
-    sent a component at a time, the largest first, along the cheapest path of the residual
-    network: to a split, or to a split from which a smaller or equal component of another
-    bundle is moved on. Costs are the squared deviations of the splits' sizes from their quotas.
+    labels: rows of each label that a component of the bundle has. The flow starts with the
+    floors of the proportional one and the rest placed largest first, and is then sent along
+    residual paths until none lowers the cost: any number of components of a bundle to another
+    split, exchanges between two bundles, and paths over all sizes. Costs are the squared
+    deviations of the splits' sizes from their quotas, and, SIZE_COST times less, those of their
+    labels. As components can't be cut, the least of all costs is a subset sum; what is reached
+    is a flow that no such path betters.
     """
-    total = sum(size * count for size, count in bundles)
-    quota = [total * share for share in shares]
-    k = len(shares)
-    sent = [[int(count * share) for share in shares] for _, count in bundles]
-    filled = [sum(bundles[i][0] * sent[i][j] for i in range(len(bundles))) for j in range(k)]
-    movable: dict[int, list[list[int]]] = {}  # by size: the bundles with flow, by split
-    for i, (size, _) in enumerate(bundles):
-        movable.setdefault(size, [[] for _ in range(k)])
-        for j in range(k):
-            if sent[i][j]:
-                movable[size][j].append(i)
-    sizes = sorted(movable)
-
-    def gain(j: int, change: float) -> float:
-        return (filled[j] + change - quota[j]) ** 2 - (filled[j] - quota[j]) ** 2
-
-    for i in sorted(range(len(bundles)), key=lambda i: -bundles[i][0]):
-        size, count = bundles[i]
-        for _ in range(count - sum(sent[i])):
-            best = min(((gain(j, size), j, -1, 0) for j in range(k)), default=None)
-            for other in sizes[:64]:
-                if other > size:
-                    break
-                for j in range(k):
-                    if not movable[other][j]:
-                        continue
-                    for to in range(k):
-                        if to != j:
-                            cost = gain(j, size - other) + gain(to, other)
-                            if cost < best[0] - 1e-9:
-                                best = (cost, j, to, other)
-            _, j, to, other = best
-            if to >= 0:
-                m = movable[other][j][-1]
-                sent[m][j] -= 1
-                sent[m][to] += 1
-                if not sent[m][j]:
-                    movable[other][j].pop()
-                if sent[m][to] == 1:
-                    movable[other][to].append(m)
-                filled[j] -= other
-                filled[to] += other
-            sent[i][j] += 1
-            if sent[i][j] == 1:
-                movable[size][j].append(i)
-            filled[j] += size
-    return sent
+    if not bundles:
+        return []
+    flow = _Flow(bundles, shares, labels)
+    flow.fill()
+    ways = [(j, to) for j in range(len(shares)) for to in range(len(shares)) if j != to]
+    pairs = [(j, to) for j, to in ways if j < to]
+    while True:
+        while any([flow.shift(*way) for way in ways]):  # noqa: C419
+            pass
+        if any([flow.swap(*pair) for pair in pairs]):  # noqa: C419
+            continue
+        if not any(flow.path(*pair) for pair in pairs):
+            return flow.sent.tolist()
 
 
 def assign(sessions: DataFrame, aliases: DataFrame, proportions: dict[str, float] | None = None, seed: int = 7) -> DataFrame:
@@ -164,9 +270,9 @@ def assign(sessions: DataFrame, aliases: DataFrame, proportions: dict[str, float
         tied = connected_components(shared.select(F.col("least").alias("a"), F.col("person").alias("b")))
         distinct = distinct.join(tied, distinct["person"] == tied["node"], "left").select("session_key", F.coalesce("root", "person").alias("person"), "label")
     by_label = distinct.groupBy("person", F.coalesce("label", F.lit("")).alias("label")).agg(F.count(F.lit(1)).alias("n"))
-    profile = F.to_json(F.array_sort(F.collect_list(F.struct("label", "n"))))
+    labels = F.array_sort(F.collect_list(F.struct("label", "n")))
     main = F.concat(F.lit("main "), F.max_by("label", F.struct("n", "label")))
-    components = by_label.groupBy("person").agg(F.sum("n").alias("size"), profile.alias("full"), main.alias("main"))
+    components = by_label.groupBy("person").agg(F.sum("n").alias("size"), labels.alias("labels"), F.to_json(labels).alias("full"), main.alias("main"))
     components = materialize(components, "components")
     fine = components.select("*", F.col("full").alias("profile"), F.col("size").alias("as_size"))
     coarse = components.select("*", F.col("main").alias("profile"), F.col("size").alias("as_size"))
@@ -178,7 +284,15 @@ def assign(sessions: DataFrame, aliases: DataFrame, proportions: dict[str, float
             break
     else:
         raise ValueError("too many label profiles")
-    sent = allocate([(r["as_size"], r["count"]) for r in found], list(proportions.values()))
+    # what a component of each bundle has in rows and in rows of each label, on average where profiles are coarse
+    has = choice.select("as_size", "profile", F.inline("labels")).groupBy("as_size", "profile", "label").agg(F.sum("n").alias("n")).collect()
+    place = {(r["as_size"], r["profile"]): i for i, r in enumerate(found)}
+    kinds = {label: i for i, label in enumerate(sorted({r["label"] for r in has}))}
+    each = np.zeros((len(found), len(kinds)))
+    for r in has:
+        i = place[r["as_size"], r["profile"]]
+        each[i, kinds[r["label"]]] = r["n"] / found[i]["count"]
+    sent = allocate([(round(x), r["count"]) for x, r in zip(each.sum(1).tolist(), found, strict=True)], list(proportions.values()), each)
     spark = sessions.sparkSession
     limits = []
     for r, counts in zip(found, sent, strict=True):

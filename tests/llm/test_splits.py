@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from spanloom.llm import splits
@@ -73,3 +74,40 @@ def test_allocation_meets_quotas():
         total = sum(s * n for s, n in bundles)
         for j, share in enumerate((0.8, 0.1, 0.1)):
             assert abs(sum(bundles[i][0] * sent[i][j] for i in range(len(bundles))) - share * total) <= max(s for s, _ in bundles)
+
+
+def sizes(bundles, sent):
+    return [sum(s * x[j] for (s, _), x in zip(bundles, sent, strict=True)) for j in range(len(sent[0]))]
+
+
+def test_allocation_gives_way_to_one_large_person():
+    bundles = [(100_000, 1)] + [(1, 40_000)] * 5
+    for own in range(6):  # the large person's label: one of the bundles' or its own
+        labels = np.zeros((6, 6))
+        labels[0, own] = 100_000
+        labels[range(1, 6), range(5)] = 1
+        assert sizes(bundles, splits.allocate(bundles, [0.8, 0.1, 0.1], labels)) == [240_000, 30_000, 30_000]
+    sent = splits.allocate(bundles, [0.8, 0.1, 0.1], labels)
+    assert all(abs(x[1] - 6_000) <= 1 and abs(x[2] - 6_000) <= 1 for x in sent[1:])
+
+
+def test_allocation_moves_several_components_of_any_size():
+    # only two of 6 for one of 10, or larger sizes than the smallest 64, meet the quotas
+    assert sizes([(10, 4), (6, 6)], splits.allocate([(10, 4), (6, 6)], [0.5, 0.5])) == [38, 38]
+    bundles = [(s, 1) for s in range(1000, 1100)]
+    reached = sizes(bundles, splits.allocate(bundles, [0.8, 0.1, 0.1]))
+    assert all(abs(x - share * 104_950) <= 1 for x, share in zip(reached, (0.8, 0.1, 0.1), strict=True))
+
+
+def test_allocation_keeps_labels():
+    # as many rows of either label; sizes alone could be met with one label in dev and eval
+    bundles = [(2, 100), (1, 200), (1, 3)]
+    labels = np.array([[2.0, 0], [0, 1], [0, 1]])
+    sent = np.array(splits.allocate(bundles, [0.8, 0.1, 0.1], labels))
+    assert np.abs(labels.T @ sent - np.outer(labels.T @ [100, 200, 3], (0.8, 0.1, 0.1))).max() <= 2
+
+
+def test_one_person_holds_a_third_of_the_rows(spark):
+    data = [(f"trn_p0_s{i}_x", None, "p0", "ar1", 1, "y") for i in range(1000)] + [(f"trn_p{p}_s0_x", None, f"p{p}", "abcde"[p % 5], 1, "y") for p in range(1, 2001)]
+    out = splits.assign(spark.createDataFrame(data, SESSIONS), spark.createDataFrame([], "old_id string, new_id string"))
+    assert {r["split"]: r["sessions"] for r in splits.reached(out).collect()} == {"train": 2400, "dev": 300, "eval": 300}
