@@ -89,7 +89,7 @@ def median_and_spread(x: np.ndarray) -> tuple[float, float]:
 def profile_sums(x: np.ndarray, phase: np.ndarray, median: float, spread: float) -> tuple[np.ndarray, np.ndarray]:
     """Sums and numbers of clipped residuals by phase."""
     clipped = np.clip(x - median, -3 * spread, 3 * spread)
-    return np.bincount(phase, clipped, BINS), np.bincount(phase, minlength=BINS).astype(float)
+    return np.bincount(phase, clipped, BINS).astype(float), np.bincount(phase, minlength=BINS).astype(float)  # whole numbers where there are none
 
 
 def profile(sums: np.ndarray, counts: np.ndarray, spread: float) -> np.ndarray:
@@ -200,6 +200,12 @@ def _batch_found(ids: list[np.ndarray], kinds: list[np.ndarray]) -> pa.RecordBat
     return pa.RecordBatch.from_arrays([pa.array(np.concatenate(ids) if ids else [], pa.int64()), pa.array(np.concatenate(kinds) if kinds else [], pa.string())], names=["segment_id", "kind"])
 
 
+def _batch_fits(out: list[tuple]) -> pa.RecordBatch:
+    names = [x.split()[0] for x in FITS.split(", ")]
+    types = [{"string": pa.string(), "long": pa.int64(), "double": pa.float64()}[x.split()[1]] for x in FITS.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
+
+
 def _append(out: np.ndarray, table: pa.Table, rows: slice, ids: list, kinds: list) -> None:
     at, kind = np.nonzero(out)
     if len(at):
@@ -222,9 +228,24 @@ def _fit_whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, r, rows, flat in _sources(table, SOURCE):
             n, median, spread, _, tails, low, high = _fit(r, flat)
             out.append((part["edf_path"][rows.start].as_py(), part["channel"][rows.start].as_py(), n, median, spread, int(tails[0]), low[0], low[1], int(tails[3]), high[0], high[1], low[2], high[2]))
-        names = [x.split()[0] for x in FITS.split(", ")]
-        types = [{"string": pa.string(), "long": pa.int64(), "double": pa.float64()}[x.split()[1]] for x in FITS.split(", ")]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
+        yield _batch_fits(out)
+
+
+def _fit_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Fits of sources of many chunks from their statistics; as of _fit_whole where no reading is usable."""
+    for batch in batches:
+        out = []
+        for r in batch.to_pylist():
+            n, median, spread, tails = r["readings"] or 0, r["median"], r["spread"], r["tails"] or [0.0] * 6
+            if not n:
+                median = spread = np.nan
+                low = high = (np.nan,) * 3
+            else:
+                season = np.array(r["season"])
+                low, high = cutoff(*tails[:3], n, spread, season), cutoff(*tails[3:], n, spread, season)
+            out.append((r["edf_path"], r["channel"], n, median, spread, int(tails[0]), low[0], low[1], int(tails[3]), high[0], high[1], low[2], high[2]))
+        if out:
+            yield _batch_fits(out)
 
 
 def _value_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -336,7 +357,12 @@ def implausible(segments: DataFrame, master: DataFrame, recordings: DataFrame, c
     return whole.unionByName(_sorted(parts).mapInArrow(_flag_chunks, FOUND)).distinct()
 
 
-def tail_fits(segments: DataFrame, master: DataFrame, recordings: DataFrame) -> DataFrame:
-    """Median, spread, tail fits and cutoffs of each source of at most CHUNK_SEGMENTS segments."""
-    full, _ = _placed(segments, master, recordings, CHUNK_SEGMENTS)
-    return _sorted(full.where(~F.col("split"))).mapInArrow(_fit_whole, FITS)
+def tail_fits(segments: DataFrame, master: DataFrame, recordings: DataFrame, chunk_segments: int = CHUNK_SEGMENTS) -> DataFrame:
+    """Median, spread, tail fits and cutoffs of each source, once."""
+    full, any_split = _placed(segments, master, recordings, chunk_segments)
+    whole = _sorted(full.where(~F.col("split"))).mapInArrow(_fit_whole, FITS)
+    if not any_split:
+        return whole
+    stats = ["median", "spread", "readings", "season", "tails"]
+    sources = _with_statistics(full.where("split")).groupBy(*SOURCE).agg(*[F.first(c).alias(c) for c in stats])
+    return whole.unionByName(sources.mapInArrow(_fit_sums, FITS))

@@ -80,6 +80,19 @@ def test_against_the_rules(spark, rows, chunk):
     assert rows(spikes.implausible(df, master, recordings, chunk)) == sorted(want, key=str)
 
 
+def test_fits_of_split_sources(spark):
+    segments = [*[(*s, "clash", "x") for s in made(4)], *[(100 + i, 3, "q", 0, [None, math.nan], "clash", "x") for i in range(20)]]
+    df = spark.createDataFrame(segments, SEG)
+    master = spark.createDataFrame([(1, "C3-CZ"), (2, "C3-CZ"), (3, "T3")], "master_id long, channel string")
+    recordings = spark.createDataFrame([("p", -3200.0, 3200.0, 0.1)], REC)
+    for table in (df, df.where("master_id = 3 and segment_id >= 100")):  # the second has no usable reading
+        whole, parts = (sorted(map(tuple, spikes.tail_fits(table, master, recordings, n).collect()), key=str) for n in (20_000, 3))
+        assert len(whole) == len(parts) > 0
+        for a, b in zip(whole, parts, strict=True):
+            assert a[:2] == b[:2]
+            np.testing.assert_allclose(np.array(a[2:], float), np.array(b[2:], float), rtol=1e-9)
+
+
 def test_empty_and_unknown(spark, rows):
     df = spark.createDataFrame([(1, None, None, None, [1.0, float("inf")], "x", "x"), (None, 1, "p", 0, [1.0], "x", "x")], SEG)
     none = spark.createDataFrame([], "master_id long, channel string"), spark.createDataFrame([], REC)
