@@ -60,6 +60,12 @@ def channels_of_vectors(spark: SparkSession, d: str) -> DataFrame:
     return rows.join(whole, "recording", "left_semi")
 
 
+def onto_recordings(rows: DataFrame, vectors: DataFrame) -> DataFrame:
+    """rows with a recording of vectors by their number _seq.n, over all recordings that exist; recordings are numbered from 0."""
+    last = vectors.agg(F.max("recording").alias("_last"))
+    return rows.crossJoin(F.broadcast(last)).where("_last is not null").withColumn("recording", F.pmod(F.col("_seq.n"), F.col("_last") + 1)).drop("_last")
+
+
 _LIST = lambda xs: "(" + ", ".join(f"'{x}'" for x in xs) + ")"
 ICTAL_SQL, TAGS_SQL = _LIST(schema.ICTAL), _LIST(TAGS)
 

@@ -432,6 +432,16 @@ def event_mask_overlap(spark: SparkSession, d: str) -> DataFrame:
     return met.select("master_id", "label", "first_sample", "last_sample", "overlap_percent", "is_background")
 
 
+@query()
+def event_mask_overlap_all(spark: SparkSession, d: str) -> DataFrame:
+    """event_mask_overlap over all recordings and every channel of each."""
+    masks = _dotted(spark, d).drop("samples")
+    rows = A.onto_recordings(A.annotations(spark, d), masks)
+    events = rows.select(F.col("_seq.n").alias("master_id"), "recording", "label", (F.col("start_time") / 40).alias("start_time"), (F.col("stop_time") / 40).alias("stop_time"))
+    met = signals.event_overlap(events, masks, ["recording"], 16.0)
+    return met.select("master_id", "recording", "channel", "label", "first_sample", "last_sample", "overlap_percent", "is_background")
+
+
 # Channel names
 
 
@@ -463,6 +473,15 @@ def derived_channels(spark: SparkSession, d: str) -> DataFrame:
     return out.withColumn("samples", F.transform("samples", lambda x: F.round(x, 6)))
 
 
+@query()
+def derived_channels_all(spark: SparkSession, d: str) -> DataFrame:
+    """derived_channels over all recordings."""
+    v = A.channels_of_vectors(spark, d)
+    wanted = A.onto_recordings(A.annotations(spark, d), v).select("recording", "channel").distinct()
+    out = match.derive_missing(wanted, v, ["recording"])
+    return out.withColumn("samples", F.transform("samples", lambda x: F.round(x, 6)))
+
+
 # Spectra and filters
 
 
@@ -484,9 +503,14 @@ st(recording, f, i, anchor, total, n, out) as (
   union all select recording, f, i + 1, case when f[i + 1] - anchor < 2 then anchor else f[i + 1] end, case when f[i + 1] - anchor < 2 then total + f[i + 1] else f[i + 1] end, case when f[i + 1] - anchor < 2 then n + 1 else 1 end, case when f[i + 1] - anchor < 2 then out else list_append(out, total / n) end from st where i < len(f))
 select recording, list_transform(list_append(out, total / n), lambda x: round(x, 6)) as freqs from st where i = len(f)""")
 def freq_grouping(spark: SparkSession, d: str) -> DataFrame:
-    rows = A.channels_of_vectors(spark, d).where("channel = 'FP1'")
+    return freq_grouping_all(spark, d).where("channel = 'FP1'").select("recording", "freqs")
+
+
+@query()
+def freq_grouping_all(spark: SparkSession, d: str) -> DataFrame:
+    """freq_grouping of every channel."""
     freqs = F.array_sort(F.array_distinct(F.transform("samples", lambda v: F.round(F.abs(v) * 100))))
-    return rows.select("recording", F.transform(dsp.group_frequencies(freqs), lambda x: F.round(x, 6)).alias("freqs"))
+    return A.channels_of_vectors(spark, d).select("recording", "channel", F.transform(dsp.group_frequencies(freqs), lambda x: F.round(x, 6)).alias("freqs"))
 
 
 def _sources(spark: SparkSession, d: str) -> DataFrame:
@@ -544,13 +568,23 @@ e as (select distinct n % 100 as recording, label, is_valid, start_time / 40 as
 c as (select e.*, session_key, least(greatest(a + round_even(s * 16, 0)::bigint, a), z) as p, least(greatest(a + round_even(t * 16, 0)::bigint, a), z) as q, a from e join o using (recording))
 select c.recording, c.session_key, channel, label, round(s, 6) as start_time, round(t, 6) as stop_time, p as seg_start_sample, q - p as n, round(list_sum(samples[p - a + 1 : q - a]), 3) as total from c join b on b.session_key = c.session_key and b.first = a where q > p""")
 def extract_segments(spark: SparkSession, d: str) -> DataFrame:
+    a = A.annotations(spark, d)
+    return _extracted(A.channels_of_vectors(spark, d), a.withColumn("recording", F.col("_seq.n") % 100))
+
+
+@query()
+def extract_segments_all(spark: SparkSession, d: str) -> DataFrame:
+    """extract_segments over all recordings."""
     v = A.channels_of_vectors(spark, d)
+    return _extracted(v, A.onto_recordings(A.annotations(spark, d), v))
+
+
+def _extracted(v: DataFrame, annotated: DataFrame) -> DataFrame:
     key = F.floor(F.col("recording") / 4).cast("string")
     first = (F.col("recording") % 4 * 64).cast("long")
     blocks = v.select(key.alias("session_key"), "channel", first.alias("start_sample"), "samples")
     offsets = v.select("recording").distinct().select(F.col("recording").cast("string").alias("edf_path"), key.alias("session_key"), first.alias("start_sample"), (first + 64).alias("end_sample"))
-    a = A.annotations(spark, d)
-    rows = a.withColumns({"edf_path": (F.col("_seq.n") % 100).cast("string"), "start_time": F.col("start_time") / 40, "stop_time": F.col("stop_time") / 40})
+    rows = annotated.withColumns({"edf_path": F.col("recording").cast("string"), "start_time": F.col("start_time") / 40, "stop_time": F.col("stop_time") / 40}).drop("recording")
     cut = signals.extract(rows, offsets, blocks, 16.0)
     out = _measured(cut.withColumnRenamed("samples", "segment"))
     return _rounded(out.select(F.col("edf_path").cast("long").alias("recording"), "session_key", "channel", "label", *_TIMES, "seg_start_sample", "n", "total"), *_TIMES)
