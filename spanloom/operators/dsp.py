@@ -49,6 +49,40 @@ def map_signals(df: DataFrame, column: str, f: Callable[[np.ndarray], np.ndarray
     return df.mapInArrow(work, schema)
 
 
+def mended(df: DataFrame, column: str, least: int = 1) -> DataFrame:
+    """df with missing readings of the signals interpolated, and why a signal isn't as given.
+
+    Readings that are null or not finite lie on the line between the nearest others, the ends
+    held: reason interpolated. Signals are null without any reading (no_reading), or where they
+    are shorter than least (too_short). reason is null else. The column becomes array<double>.
+    """
+    schema = ", ".join(f"`{x.name}` {'array<double>' if x.name == column else x.dataType.simpleString()}" for x in df.schema) + ", reason string"
+    names = df.columns
+    at = names.index(column)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            arrays = batch[at].cast(pa.list_(pa.float64()))
+            length = pc.fill_null(pc.list_value_length(arrays), 0).to_numpy()
+            value = arrays.flatten().to_numpy(zero_copy_only=False).copy()
+            edge = np.concatenate(([0], np.cumsum(length)))
+            good = np.isfinite(value)
+            known = np.concatenate(([0], np.cumsum(good)))
+            known = known[edge[1:]] - known[edge[:-1]]
+            reason = np.where(known == 0, "no_reading", np.where(length < least, "too_short", np.where(known < length, "interpolated", None)))
+            for i in np.flatnonzero(reason == "interpolated").tolist():
+                x, ok = value[edge[i] : edge[i + 1]], good[edge[i] : edge[i + 1]]
+                x[~ok] = np.interp(np.flatnonzero(~ok), np.flatnonzero(ok), x[ok])
+            gone = (reason == "no_reading") | (reason == "too_short")
+            edge = np.concatenate(([0], np.cumsum(np.where(gone, 0, length)))).astype(np.int32)
+            value = pa.array(value[np.repeat(~gone, length)])
+            columns = list(batch.columns)
+            columns[at] = pa.ListArray.from_arrays(pa.array(edge), value, mask=pa.array(gone))
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(reason.tolist(), pa.string())], names=[*names, "reason"])
+
+    return df.mapInArrow(work, schema)
+
+
 def bandpass(df: DataFrame, column: str, rate: float, low: float = 0.5, high: float = 40.0, order: int = 4) -> DataFrame:
     filters.butterworth(order, (low, high), "band", rate)  # checks the cutoffs
     return map_signals(df, column, lambda x: filters.bandpass(x, rate, low, high, order), 2)
@@ -57,7 +91,7 @@ def bandpass(df: DataFrame, column: str, rate: float, low: float = 0.5, high: fl
 def filter_interval(df: DataFrame, column: str, rate: float, begin: float, end: float, kind: str, cutoff: float | tuple[float, float], order: int = 4) -> DataFrame:
     """Only [begin, end) seconds of the signals filtered; kind is low, high or band. Choose channels by a filter on df."""
     filters.butterworth(order, cutoff, kind, rate)
-    return map_signals(df, column, lambda x: filters.filter_within(x, rate, begin, end, kind, cutoff, order), int(begin * rate) + 2)
+    return map_signals(df, column, lambda x: filters.filter_within(x, rate, begin, end, kind, cutoff, order), max(2, round(begin * rate) + 1))
 
 
 def notch(df: DataFrame, column: str, rate: float, freqs: list[float], width: float = 2.0) -> DataFrame:
@@ -72,13 +106,17 @@ def resample(df: DataFrame, column: str, native: float, target: float, method: s
 
 
 def psd(df: DataFrame, keys: list[str], column: str, rate: float, seconds: float = 4.0, most: float = 60.0) -> DataFrame:
-    """(keys, freq, psd): Welch densities up to most Hz of each row's signal; windows of seconds, or the whole."""
+    """(keys, reason, freq, psd): Welch densities up to most Hz of each row's signal; windows of seconds, or the whole.
+
+    Missing readings are interpolated; a signal without readings or of less than 8 has one row
+    with null freq and psd, and its reason.
+    """
     size = int(seconds * rate)
-    with_n = df.select(*keys, F.least(F.size(column), F.lit(size)).alias("_n"), column)
-    densities = map_signals(with_n.where("_n >= 8"), column, lambda x: filters.welch(x, rate, size)[1], 8)
-    usable = densities.where(F.size(column) == F.floor(F.col("_n") / 2).cast("int") + 1)
-    out = usable.select(*keys, "_n", F.posexplode(column).alias("k", "psd")).withColumn("freq", F.col("k") * F.lit(float(rate)) / F.col("_n"))
-    return out.where(F.col("freq") <= most).select(*keys, "freq", "psd")
+    whole = mended(df.select(*keys, column), column, 8)
+    with_n = whole.select(*keys, "reason", F.least(F.size(column), F.lit(size)).alias("_n"), column)
+    densities = map_signals(with_n, column, lambda x: filters.welch(x, rate, size)[1], 8)
+    out = densities.select(*keys, "reason", "_n", F.posexplode_outer(column).alias("k", "psd")).withColumn("freq", F.col("k") * F.lit(float(rate)) / F.col("_n"))
+    return out.where((F.col("freq") <= most) | F.col("freq").isNull()).select(*keys, "reason", "freq", "psd")
 
 
 def noise_profile(densities: DataFrame, group: list[str], channel: list[str]) -> DataFrame:
@@ -103,7 +141,7 @@ def group_frequencies(sorted_freqs: Column, reach: float = 2.0) -> Column:
 
 def noise_frequencies(densities: DataFrame, group: list[str], channel: list[str], variance: float = 0.20, percentile: float = 80.0, above: float = 4.0) -> DataFrame:
     """(group, freqs): frequencies above the power percentile that vary little over channels, close ones merged."""
-    profile = noise_profile(densities, group, channel)
+    profile = noise_profile(densities.where("freq is not null"), group, channel)
     line = F.percentile("mean_power", F.lit(percentile / 100)).over(Window.partitionBy(*group))
     loud = profile.withColumn("line", line).where((F.col("mean_power") > F.col("line")) & (F.col("cv") < variance) & (F.col("freq") > above))
     return loud.groupBy(*group).agg(group_frequencies(F.array_sort(F.collect_list("freq"))).alias("freqs"))

@@ -529,27 +529,27 @@ def noise_frequencies(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def notch(spark: SparkSession, d: str) -> DataFrame:
-    return dsp.notch(_sources(spark, d), "segment", 256.0, [60.0])
+    return dsp.notch(dsp.mended(_sources(spark, d), "segment", 16), "segment", 256.0, [60.0])
 
 
 @query()
 def bandpass(spark: SparkSession, d: str) -> DataFrame:
-    return dsp.bandpass(_sources(spark, d), "segment", 256.0)
+    return dsp.bandpass(dsp.mended(_sources(spark, d), "segment", 2), "segment", 256.0)
 
 
 @query()
 def filter_interval(spark: SparkSession, d: str) -> DataFrame:
-    return dsp.filter_interval(_sources(spark, d), "segment", 256.0, 0.125, 0.375, "band", (0.5, 100.0))
+    return dsp.filter_interval(dsp.mended(_sources(spark, d), "segment"), "segment", 256.0, 0.125, 0.375, "band", (0.5, 100.0))
 
 
 @query()
 def resample_fft(spark: SparkSession, d: str) -> DataFrame:
-    return dsp.resample(_sources(spark, d), "segment", 256.0, 250.0, "fft")
+    return dsp.resample(dsp.mended(_sources(spark, d), "segment"), "segment", 256.0, 250.0, "fft")
 
 
 @query()
 def resample_poly(spark: SparkSession, d: str) -> DataFrame:
-    return dsp.resample(_sources(spark, d), "segment", 256.0, 250.0, "poly")
+    return dsp.resample(dsp.mended(_sources(spark, d), "segment"), "segment", 256.0, 250.0, "poly")
 
 
 @query()

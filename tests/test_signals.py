@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -64,6 +66,21 @@ def test_signal_rows(spark):
     assert dsp.resample(df.limit(0), "x", 2, 1).count() == 0
 
 
+def test_missing_readings_and_short_signals(spark):
+    whole = [float(np.sin(i / 3)) for i in range(64)]
+    gap = [*whole[:10], None, math.nan, *whole[12:]]
+    data = [(1, whole), (2, gap), (3, [1.0, math.inf, 3.0]), (4, [None, math.nan]), (5, None), (6, [])]
+    df = spark.createDataFrame(data, "id int, x array<double>")
+    got = {r["id"]: r for r in dsp.mended(df, "x").collect()}
+    assert [got[i]["reason"] for i in range(1, 7)] == [None, "interpolated", "interpolated", "no_reading", "no_reading", "no_reading"]
+    assert got[1]["x"] == whole and got[3]["x"] == [1, 2, 3] and got[4]["x"] is got[5]["x"] is got[6]["x"] is None
+    assert got[2]["x"][9:13] == pytest.approx([whole[9], whole[9] + (whole[12] - whole[9]) / 3, whole[9] + 2 * (whole[12] - whole[9]) / 3, whole[12]])
+    assert {r["id"]: r["x"] and len(r["x"]) for r in dsp.resample(dsp.mended(df, "x"), "x", 64.0, 32.0).collect()} == {1: 32, 2: 32, 3: 2, 4: None, 5: None, 6: None}
+    rows = dsp.psd(df, ["id"], "x", 32.0).collect()
+    assert {(r["id"], r["reason"]) for r in rows if r["psd"] is None} == {(3, "too_short"), (4, "no_reading"), (5, "no_reading"), (6, "no_reading")}
+    assert sum(r["id"] == 1 and r["psd"] is not None for r in rows) == sum(r["id"] == 2 and r["psd"] is not None for r in rows) == 33
+
+
 def test_noise(spark):
     rng = np.random.default_rng(42)
     t = np.arange(2000) / 250
