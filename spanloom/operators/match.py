@@ -27,19 +27,24 @@ def match_channels(annotated: DataFrame, present: DataFrame, keys: list[str], cu
     return found.unionByName(top).unionByName(none)
 
 
-def derive_missing(annotated: DataFrame, signals: DataFrame, keys: list[str], montage: DataFrame | None = None, column: str = "samples") -> DataFrame:
+def derive_missing(annotated: DataFrame, signals: DataFrame, keys: list[str], montage: DataFrame | None = None, column: str = "samples", cutoff: float = 0.8, unresolved: bool = False) -> DataFrame:
     """(keys, name, samples): bipolar channels that annotations name, as differences of two signals.
 
     montage: name, source_a, source_b from a montage file; other names are parted at their first
-    hyphen. Both sources must be among the key's signals by their normalised names.
+    hyphen. Both sources are found among the key's signals as in match_channels; a cutoff of 1
+    takes equal names only. With unresolved, names that lack a source are rows with null samples.
     """
     names = annotated.where("channel is not null").select(*keys, F.col("channel").alias("name")).distinct()
     guess = channels.bipolar_sides(F.col("name"))
     if montage is not None:
         names = names.join(montage.select("name", F.struct(F.col("source_a").alias("a"), F.col("source_b").alias("b")).alias("_m")), "name", "left")
         guess = F.coalesce("_m", guess)
-    sides = names.withColumn("_s", guess).where("_s is not null").select(*keys, "name", channels.normalized(F.col("_s.a")).alias("_a"), channels.normalized(F.col("_s.b")).alias("_b"))
-    own = signals.where("channel is not null").withColumn("_n", channels.normalized(F.col("channel"))).groupBy(*keys, "_n").agg(F.min_by(column, "channel").alias("_x"))
-    left, right = own.withColumnsRenamed({"_n": "_a", "_x": "_xa"}), own.withColumnsRenamed({"_n": "_b", "_x": "_xb"})
-    met = sides.join(left, [*keys, "_a"]).join(right, [*keys, "_b"])
+    sides = names.withColumn("_s", guess).where("_s is not null").select(*keys, "name", F.col("_s.a").alias("_a"), F.col("_s.b").alias("_b"))
+    wanted = sides.select(*keys, F.explode(F.array("_a", "_b")).alias("channel"))
+    found = match_channels(wanted, signals.select(*keys, "channel"), keys, cutoff).where("channel is not null")
+    own = signals.where("channel is not null").groupBy(*keys, "channel").agg(F.min(column).alias("_x"))
+    resolved = found.join(own, [*keys, "channel"]).select(*keys, "annotation", "_x")
+    left, right = resolved.withColumnsRenamed({"annotation": "_a", "_x": "_xa"}), resolved.withColumnsRenamed({"annotation": "_b", "_x": "_xb"})
+    how = "left" if unresolved else "inner"
+    met = sides.join(left, [*keys, "_a"], how).join(right, [*keys, "_b"], how)
     return met.select(*keys, "name", F.zip_with("_xa", "_xb", lambda a, b: a - b).alias(column))

@@ -469,16 +469,16 @@ with {A.ANN}, {A.VEC}, w as (select distinct n % 100 as recording, channel as na
 select s.recording, name, list_transform(range(1, 65), lambda i: round(l.samples[i] - r.samples[i], 6)) as samples from s join vec l on l.recording = s.recording and l.channel = a join vec r on r.recording = s.recording and r.channel = b""")
 def derived_channels(spark: SparkSession, d: str) -> DataFrame:
     wanted = A.annotations(spark, d).select((F.col("_seq.n") % 100).alias("recording"), "channel").distinct()
-    out = match.derive_missing(wanted, A.channels_of_vectors(spark, d), ["recording"])
+    out = match.derive_missing(wanted, A.channels_of_vectors(spark, d), ["recording"], cutoff=1.0)
     return out.withColumn("samples", F.transform("samples", lambda x: F.round(x, 6)))
 
 
 @query()
 def derived_channels_all(spark: SparkSession, d: str) -> DataFrame:
-    """derived_channels over all recordings."""
+    """derived_channels over all recordings, by likely names too; names that lack a source have null samples."""
     v = A.channels_of_vectors(spark, d)
     wanted = A.onto_recordings(A.annotations(spark, d), v).select("recording", "channel").distinct()
-    out = match.derive_missing(wanted, v, ["recording"])
+    out = match.derive_missing(wanted, v, ["recording"], unresolved=True)
     return out.withColumn("samples", F.transform("samples", lambda x: F.round(x, 6)))
 
 

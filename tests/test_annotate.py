@@ -147,6 +147,14 @@ def test_matching(spark):
     assert {r["name"]: r["samples"] for r in match.derive_missing(w, s, ["k"], m).collect()} == {"FP1-F7": [2, 3], "odd": [-2, -3]}
 
 
+def test_derived_by_likeness(spark):
+    s = spark.createDataFrame([("k", "EEG FP1-REF", [3.0, 4.0]), ("k", "F7", [1.0, 1.0]), ("j", "T3", [5.0, 5.0])], "k string, channel string, samples array<double>")
+    w = spark.createDataFrame([("k", "FP01-F7"), ("k", "FP1-F7"), ("k", "FP1-T3"), ("k", "F7"), ("j", "FP1-F7")], "k string, channel string")
+    got = {(r["k"], r["name"]): r["samples"] for r in match.derive_missing(w, s, ["k"], unresolved=True).collect()}
+    assert got == {("k", "FP01-F7"): [2, 3], ("k", "FP1-F7"): [2, 3], ("k", "FP1-T3"): None, ("j", "FP1-F7"): None}
+    assert {r["name"] for r in match.derive_missing(w, s, ["k"], cutoff=1.0).collect()} == {"FP1-F7"}
+
+
 def test_overlap_seconds(spark):
     left = spark.createDataFrame([(1, "a", 0.0, 10.0), (2, "a", 20.0, 30.0)], "id int, k string, start_time double, stop_time double")
     right = spark.createDataFrame([("a", 5.0, 7.0), ("a", 9.0, 25.0)], "k string, start_time double, stop_time double")
