@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from spanloom.llm import abuse, mixing, splits, tokenizer
 from spanloom.session import table
@@ -20,6 +21,16 @@ def p2_shares(spark: SparkSession, d: str) -> DataFrame:
     return splits.reached(p2_splits(spark, d))
 
 
+def p2_invariants(spark: SparkSession, d: str) -> DataFrame:
+    """What must hold of p2_splits: every session once, no person in two splits, no split a session or more off its quota."""
+    dealt = p2_splits(spark, d)
+    keys = dealt.groupBy("session_key").agg(F.count(F.lit(1)).alias("n"))
+    of = dealt.groupBy("person").agg(F.count_distinct("split").alias("n"))
+    by = keys.agg(F.count(F.lit(1)).alias("sessions"), F.count_if(F.col("n") > 1).alias("repeated"))
+    off = splits.reached(dealt).agg((F.max(F.abs(F.col("sessions") - F.col("target") * F.col("sessions") / F.col("share"))) < 1).alias("within_a_session"))
+    return by.crossJoin(of.agg(F.count_if(F.col("n") > 1).alias("persons_apart"))).crossJoin(off)  # of one row each
+
+
 def p6_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokenizer.token_ids(table(spark, d, "documents"))
 
@@ -44,9 +55,10 @@ def p8_rates(spark: SparkSession, d: str) -> DataFrame:
     return abuse.rates(p8_scores(spark, d))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_splits, p2_shares, p6_ids, p7_mix, p7_shares, p8_found, p8_scores, p8_rates)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_splits, p2_shares, p2_invariants, p6_ids, p7_mix, p7_shares, p8_found, p8_scores, p8_rates)}
 
 ORACLES = {
+    "p2_invariants": "select count(distinct session_key) as sessions, 0 as repeated, 0 as persons_apart, true as within_a_session from sessions",
     "p2_found": r"""
 with recursive s as (
   select session_key, coalesce(

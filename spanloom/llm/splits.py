@@ -2,13 +2,14 @@
 
 Persons are connected components over patient numbers and aliases. Components of the same size
 and label profile form a bundle. A flow from bundles to splits, with convex costs of leaving the
-quotas of sizes and labels, gives whole numbers of components by bundle and split; the members
-of a bundle are dealt by the order of their hash. Only the counts of bundles reach the driver.
+quotas of sizes and labels, gives whole numbers of components; the members of a bundle are dealt
+by the order of their hash. Only counts of bundles by size and main label reach the driver.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,12 +19,12 @@ from spanloom.session import materialize
 SPELLINGS = {"train": "train", "trn": "train", "training": "train", "dev": "dev", "vld": "dev", "validation": "dev", "eval": "eval", "tst": "eval", "test": "eval"}
 PREFIXES = {"trn": "train", "vld": "dev", "tst": "eval"}
 PROPORTIONS = {"train": 0.8, "dev": 0.1, "eval": 0.1}
-#: Bundles that the driver solves at most; beyond, a profile is the component's size and main label only, then its size's power of two.
-MOST_BUNDLES = 50_000
 #: Cost of a row off a split's size quota, in rows off a label's quota; the least gain that counts, a row off one label.
 SIZE_COST, EPSILON = 1e6, 1.0
-#: Buckets of hashes in which the members of a bundle are ranked.
-RANK_BUCKETS = 256
+#: How often a flow is disturbed and settled again while its sizes are off their rounded quotas.
+KICKS = 200
+#: Members of a bundle, or of bundles of one size and main label, that are ranked in one task, about.
+RANK_ROWS = 100_000
 
 
 def _lookup(value: Column, table: dict[str, str]) -> Column:
@@ -106,27 +107,61 @@ def _rounded_best(slope: np.ndarray, square: np.ndarray, most: np.ndarray) -> tu
 
 
 class _Flow:
-    """Components of each bundle by split, with what each split's size and labels are off their quotas."""
+    """Components of each group by split, with what each split's size and labels are off their quotas."""
 
-    def __init__(self, bundles: list[tuple[int, int]], shares: list[float], labels: np.ndarray | None):
-        self.size = np.array([s for s, _ in bundles], np.int64)
-        self.count = np.array([n for _, n in bundles], np.int64)
-        self.labels = np.zeros((len(bundles), 0)) if labels is None else np.asarray(labels, float)
+    def __init__(self, groups: list[tuple[int, int]], shares: list[float], labels: np.ndarray | None):
+        self.size = np.array([s for s, _ in groups], np.int64)
+        self.count = np.array([n for _, n in groups], np.int64)
+        self.labels = np.zeros((len(groups), 0)) if labels is None else np.asarray(labels, float)
         self.square = (self.labels**2).sum(1)
         self.quota = np.array(shares) * float((self.size * self.count).sum())
         self.wanted = np.outer(self.labels.T @ self.count, shares)
         self.sent = np.floor(np.outer(self.count, shares) + 1e-9).astype(np.int64)
         self.left = self.count - self.sent.sum(1)
-        self.off, self.off_labels = self._deviations()
-
-    def _deviations(self) -> tuple[np.ndarray, np.ndarray]:
-        return (self.size @ self.sent).astype(float) - self.quota, self.labels.T @ self.sent - self.wanted
+        self.measure()
+        self.least = self._least()
+
+    def measure(self) -> None:
+        self.off = (self.size @ self.sent).astype(float) - self.quota
+        self.off_labels = self.labels.T @ self.sent - self.wanted
+
+    def _least(self) -> float:
+        """What the size cost can't fall below: quotas rounded to the sizes' common divisor, wherever the largest component lies."""
+        unit, largest = int(np.gcd.reduce(self.size)), int(self.size.max())
+        total, n = float(self.quota.sum()), len(self.quota)
+
+        def rounded(quota: np.ndarray, rest: float) -> np.ndarray:  # largest remainders first
+            whole = np.floor(quota / unit + 1e-9)
+            whole[np.argsort(-(quota / unit - whole), kind="stable")[: round(rest / unit - whole.sum())]] += 1
+            return whole * unit
+
+        costs = []
+        for j in range(n):
+            reached, over = np.zeros(n), largest - self.quota[j]
+            if over <= 0 or n == 1:
+                reached = rounded(self.quota, total)
+            else:
+                others = np.arange(n) != j
+                reached[j] = largest
+                reached[others] = rounded(self.quota[others] - over / (n - 1), total - largest)
+            costs.append(float(((reached - self.quota) ** 2).sum()))
+        return min(costs)
+
+    def size_cost(self) -> float:
+        return float((self.off**2).sum())
+
+    def cost(self) -> float:
+        return SIZE_COST * self.size_cost() + float((self.off_labels**2).sum())
 
     def put(self, i: int, j: int, n: int) -> None:
         self.sent[i, j] += n
         self.off[j] += n * int(self.size[i])
         self.off_labels[:, j] += n * self.labels[i]
 
+    def move(self, i: int, j: int, to: int, n: int) -> None:
+        self.put(i, j, -n)
+        self.put(i, to, n)
+
     def fill(self) -> None:
         """Components that the floors leave over, the largest first, each where it costs least."""
         for i in np.argsort(-self.size, kind="stable").tolist():
@@ -137,67 +172,75 @@ class _Flow:
     def slopes(self, j: int, to: int) -> tuple[float, np.ndarray]:
         return float(self.off[to] - self.off[j]), self.labels @ (self.off_labels[:, to] - self.off_labels[:, j])
 
-    def shift(self, j: int, to: int) -> bool:
-        """Components of single bundles moved on, as many at a time as lower the cost most."""
-        slope, along = self.slopes(j, to)
-        size = self.size.astype(float)
-        _, cost = _rounded_best(SIZE_COST * slope * size + along, 2 * (SIZE_COST * size * size + self.square), self.sent[:, j])
+    def _take(self, j: int, to: int, best: list[tuple[float, int, int, int, int]]) -> bool:
+        """Exchanges (cost, group out, its components, group back, its components), the cheapest first, as long as each still lowers the cost."""
         moved = False
-        for i in np.flatnonzero(cost < -EPSILON)[np.argsort(cost[cost < -EPSILON], kind="stable")].tolist():
-            s = float(self.size[i])
-            here = SIZE_COST * float(self.off[to] - self.off[j]) * s + float(self.labels[i] @ (self.off_labels[:, to] - self.off_labels[:, j]))
-            c, now = _rounded_best(np.array(here), np.array(2 * (SIZE_COST * s * s + self.square[i])), self.sent[i, j])
+        for _, i, a, x, b in sorted(best):
+            u = float(a * self.size[i] - b * self.size[x])
+            v = a * self.labels[i] - b * self.labels[x]
+            here = SIZE_COST * float(self.off[to] - self.off[j]) * u + float(v @ (self.off_labels[:, to] - self.off_labels[:, j]))
+            most = self.sent[i, j] // a if not b else min(self.sent[i, j] // a, self.sent[x, to] // b)
+            c, now = _rounded_best(np.array(here), np.array(2 * (SIZE_COST * u * u + float(v @ v))), most)
             if now < -EPSILON:
-                self.put(i, j, -int(c))
-                self.put(i, to, int(c))
+                self.move(i, j, to, a * int(c))
+                if b:
+                    self.move(x, to, j, b * int(c))
                 moved = True
         return moved
 
+    def shift(self, j: int, to: int) -> bool:
+        """Components of single groups moved on, as many at a time as lower the cost most."""
+        slope, along = self.slopes(j, to)
+        size = self.size.astype(float)
+        _, cost = _rounded_best(SIZE_COST * slope * size + along, 2 * (SIZE_COST * size * size + self.square), self.sent[:, j])
+        good = np.flatnonzero(cost < -EPSILON)
+        return self._take(j, to, [(c, i, 1, i, 0) for c, i in zip(cost[good].tolist(), good.tolist(), strict=True)])
+
     def swap(self, j: int, to: int) -> bool:
-        """Components of one bundle exchanged for those of another: one for one, or so many that the sizes are equal."""
+        """Components of one group exchanged for those of another.
+
+        One for one: each group meets those groups whose sizes bring the splits nearest to their
+        quotas, found by search among the sorted sizes; of one size, the groups whose labels gain
+        most. So many that the sizes are equal: each group meets the one of the best gain a row.
+        """
         out, back = np.flatnonzero(self.sent[:, j]), np.flatnonzero(self.sent[:, to])
         if not len(out) or not len(back):
             return False
         slope, along = self.slopes(j, to)
-        # of each size the bundle whose return gains most by its labels meets all others, those of one size all meet
         by_gain = back[np.lexsort((-along[back], self.size[back]))]
-        first = by_gain[np.concatenate(([True], np.diff(self.size[by_gain]) > 0))]
-        met = [(out[at : at + max(1, 500_000 // len(first))], first) for at in range(0, len(out), max(1, 500_000 // len(first)))]
-        for size in np.intersect1d(self.size[out], self.size[back]).tolist():
-            x, y = out[self.size[out] == size], back[self.size[back] == size]
-            met += [(x[at : at + max(1, 500_000 // len(y))], y) for at in range(0, len(x), max(1, 500_000 // len(y)))]
+        first = by_gain[np.concatenate(([True], np.diff(self.size[by_gain]) > 0))]  # of each size the one that gains most
+        ideal = np.searchsorted(self.size[first], self.size[out] + slope / 2)
+        same = np.searchsorted(self.size[first], self.size[out])
+        rate_out, rate_back = out[np.argmin(along[out] / self.size[out])], back[np.argmax(along[back] / self.size[back])]
+        pairs = [(out, first[np.clip(ideal + d, 0, len(first) - 1)], False) for d in (-1, 0)]
+        pairs.append((out, first[np.clip(same, 0, len(first) - 1)], False))
+        pairs += [(out, np.full(len(out), rate_back), True), (np.full(len(back), rate_out), back, True)]
         best: list[tuple[float, int, int, int, int]] = []
-        for rows, others in met:
-            dots = self.labels[rows] @ self.labels[others].T
-            s, t = self.size[rows][:, None], self.size[others][None, :]
+        for i, x, evenly in pairs:
+            s, t = self.size[i], self.size[x]
             g = np.gcd(s, t)
-            for a, b in ((np.ones_like(g), np.ones_like(g)), (t // g, s // g)):
-                u = (a * s - b * t).astype(float)
-                most = np.minimum(self.sent[rows, j][:, None] // a, self.sent[others, to][None, :] // b)
-                square = a * a * self.square[rows][:, None] + b * b * self.square[others][None, :] - 2 * a * b * dots
-                _, cost = _rounded_best(SIZE_COST * slope * u + a * along[rows][:, None] - b * along[others][None, :], 2 * (SIZE_COST * u * u + square), most)
-                k = cost.argmin(1)
-                n = np.arange(len(rows))
-                best += [(c, i, x, p, q) for c, i, x, p, q in zip(cost[n, k].tolist(), rows.tolist(), others[k].tolist(), a[n, k].tolist(), b[n, k].tolist(), strict=True) if c < -EPSILON]
-        moved = False
-        for _, i, x, a, b in sorted(best):
-            u = float(a * self.size[i] - b * self.size[x])
-            v = a * self.labels[i] - b * self.labels[x]
-            here = SIZE_COST * float(self.off[to] - self.off[j]) * u + float(v @ (self.off_labels[:, to] - self.off_labels[:, j]))
-            c, now = _rounded_best(np.array(here), np.array(2 * (SIZE_COST * u * u + float(v @ v))), min(self.sent[i, j] // a, self.sent[x, to] // b))
-            if now < -EPSILON:
-                for k, n in ((i, a * int(c)), (x, -b * int(c))):
-                    self.put(k, j, -n)
-                    self.put(k, to, n)
-                moved = True
-        return moved
+            a, b = (t // g, s // g) if evenly else (np.ones_like(g), np.ones_like(g))
+            u = (a * s - b * t).astype(float)
+            v = a[:, None] * self.labels[i] - b[:, None] * self.labels[x]
+            most = np.minimum(self.sent[i, j] // a, self.sent[x, to] // b)
+            _, cost = _rounded_best(SIZE_COST * slope * u + a * along[i] - b * along[x], 2 * (SIZE_COST * u * u + (v * v).sum(1)), most)
+            good = np.flatnonzero((cost < -EPSILON) & (i != x))
+            best += [tuple(r) for r in zip(cost[good].tolist(), i[good].tolist(), a[good].tolist(), x[good].tolist(), b[good].tolist(), strict=True)]
+        return self._take(j, to, best)
 
     def path(self, j: int, to: int) -> bool:
         """The residual path over all sizes, each as often as there are components, that brings both splits nearest to their quotas."""
         want = float(self.off[j] - self.off[to]) / 2
         sizes, n = np.unique(self.size, return_inverse=True)
         forth, back = (np.bincount(n, self.sent[:, k], len(sizes)).astype(np.int64) for k in (j, to))
-        steps = [(int(s), sign, int(m[k])) for k, s in enumerate(sizes) for sign, m in ((1, forth), (-1, back)) if m[k]]
+        steps = []  # (size, sign, components moved at once): 1, 2, 4 and so on, so that any number can be moved
+        for k, size in enumerate(sizes.tolist()):
+            for sign, m in ((1, int(forth[k])), (-1, int(back[k]))):
+                some = 1
+                while m:
+                    some = min(some, m)
+                    steps.append((size, sign, some))
+                    m, some = m - some, 2 * some
         unit = int(np.gcd.reduce([s for s, *_ in steps])) if steps else 0
         if not unit or abs(round(want / unit) * unit - want) >= abs(want) - 1e-6:
             return False
@@ -207,52 +250,82 @@ class _Flow:
         via = np.full(2 * zero + 1, -1, np.int32)  # the step that first reaches each net change, after those before it
         via[zero] = len(steps)
         for k, (s, sign, m) in enumerate(steps):
-            front = np.flatnonzero(via >= 0)
-            for _ in range(m):
-                front = front + sign * s
-                front = front[(front >= 0) & (front < len(via))]
-                front = front[via[front] < 0]
-                if not len(front):
-                    break
-                via[front] = k
+            front = np.flatnonzero(via >= 0) + sign * s * m
+            front = front[(front >= 0) & (front < len(via))]
+            via[front[via[front] < 0]] = k
         reached = np.flatnonzero(via >= 0)
         at = int(reached[np.argmin(np.abs(reached - zero - want))])
         if abs(at - zero - want) >= abs(want) - 1e-6:
             return False
         while at != zero:
-            size, sign, _ = steps[via[at]]
+            size, sign, m = steps[via[at]]
             a, b = (j, to) if sign > 0 else (to, j)
-            i = int(np.argmax(np.where(self.size == size, self.sent[:, a], -1)))
-            self.put(i, a, -1)
-            self.put(i, b, 1)
-            at -= sign * size
+            at -= sign * size * m
+            for i in np.flatnonzero(self.size == size).tolist():
+                some = min(m, int(self.sent[i, a]))
+                self.move(i, a, b, some)
+                m -= some
         return True
 
-
-def allocate(bundles: list[tuple[int, int]], shares: list[float], labels: np.ndarray | None = None) -> list[list[int]]:
-    """Whole numbers of components by bundle and split, from (size, components) of each bundle.
-
-    labels: rows of each label that a component of the bundle has. The flow starts with the
-    floors of the proportional one and the rest placed largest first, and is then sent along
-    residual paths until none lowers the cost: any number of components of a bundle to another
-    split, exchanges between two bundles, and paths over all sizes. Costs are the squared
-    deviations of the splits' sizes from their quotas, and, SIZE_COST times less, those of their
-    labels. As components can't be cut, the least of all costs is a subset sum; what is reached
-    is a flow that no such path betters.
+    def settle(self) -> None:
+        """Residual paths until none lowers the cost."""
+        ways = [(j, to) for j in range(len(self.quota)) for to in range(len(self.quota)) if j != to]
+        pairs = [(j, to) for j, to in ways if j < to]
+        while True:
+            while any([self.shift(*way) for way in ways]):  # noqa: C419
+                pass
+            if any([self.swap(*pair) for pair in pairs]):  # noqa: C419
+                continue
+            if self.size_cost() <= self.least + 1e-6 or not any(self.path(*pair) for pair in pairs):
+                return
+
+    def kick(self, rng: np.random.Generator) -> None:
+        """A few components moved at random, so that paths over three splits at once come into reach."""
+        for _ in range(int(rng.integers(1, 4))):
+            i, (j, to) = int(rng.integers(len(self.size))), rng.choice(len(self.quota), 2, replace=False).tolist()
+            if self.sent[i, j]:
+                self.move(i, j, to, 1)
+
+
+def allocate(groups: list[tuple[int, int]], shares: list[float], labels: np.ndarray | None = None) -> list[list[int]]:
+    """Whole numbers of components by group and split, from (size, components) of each group.
+
+    labels: rows of each label that a component of the group has. The flow starts with the
+    floors of the proportional one, which is the least-cost flow of parts, and the rest placed
+    largest first; it is then sent along residual paths until none lowers the cost: any number
+    of components of a group to another split, exchanges between two groups, and paths over all
+    sizes. Costs are the squared deviations of the splits' sizes from their quotas, and,
+    SIZE_COST times less, those of their labels. As components can't be cut, the least of all
+    costs is a subset sum: while sizes are off their rounded quotas, the flow is disturbed and
+    settled again, KICKS times, and the best one kept.
     """
-    if not bundles:
+    if not groups:
         return []
-    flow = _Flow(bundles, shares, labels)
+    flow = _Flow(groups, shares, labels)
     flow.fill()
-    ways = [(j, to) for j in range(len(shares)) for to in range(len(shares)) if j != to]
-    pairs = [(j, to) for j, to in ways if j < to]
-    while True:
-        while any([flow.shift(*way) for way in ways]):  # noqa: C419
-            pass
-        if any([flow.swap(*pair) for pair in pairs]):  # noqa: C419
-            continue
-        if not any(flow.path(*pair) for pair in pairs):
-            return flow.sent.tolist()
+    flow.settle()
+    best, least = flow.sent.copy(), flow.cost()
+    rng = np.random.default_rng(0)
+    for _ in range(KICKS if len(shares) > 2 else 0):
+        if ((flow.size @ best - flow.quota) ** 2).sum() <= flow.least + 1e-6:
+            break
+        flow.sent = best.copy()
+        flow.measure()
+        flow.kick(rng)
+        flow.settle()
+        if flow.cost() < least - EPSILON:
+            best, least = flow.sent.copy(), flow.cost()
+    return best.tolist()
+
+
+def _ranked(rows: DataFrame, keys: list[str], at: Column, order: list[Column], name: str) -> DataFrame:
+    """rows with their number from 0 within keys by at (0 to 1) and order; at cuts a hot key to buckets of RANK_ROWS rows or so."""
+    count = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    cut = rows.join(count, keys).withColumn("_bucket", F.floor(at * F.ceil(F.col("_n") / RANK_ROWS)))
+    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    base = cut.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_m")).select(*keys, "_bucket", F.coalesce(F.sum("_m").over(before), F.lit(0)).alias("_base"))
+    within = Window.partitionBy(*keys, "_bucket").orderBy(*order)
+    return cut.join(base, [*keys, "_bucket"]).withColumn(name, F.col("_base") + F.row_number().over(within) - 1).drop("_bucket", "_base")
 
 
 def assign(sessions: DataFrame, aliases: DataFrame, proportions: dict[str, float] | None = None, seed: int = 7) -> DataFrame:
@@ -260,6 +333,11 @@ def assign(sessions: DataFrame, aliases: DataFrame, proportions: dict[str, float
 
     Labels of the profile are montage kinds. Proportions must sum to 1. Persons of whom one
     session_key is given are dealt together. An empty table gives an empty one.
+
+    Components of one size and profile are a bundle; the driver sees the bundles of one size and
+    main label as one group, with true sizes and their mean labels: n distinct sizes need at
+    least n * n / 2 sessions, so there are at most sqrt(2 * sessions) sizes by main labels.
+    Within a group members are dealt in an order in which each bundle is spread evenly.
     """
     proportions = proportions or PROPORTIONS
     names = list(proportions)
@@ -271,43 +349,26 @@ def assign(sessions: DataFrame, aliases: DataFrame, proportions: dict[str, float
         distinct = distinct.join(tied, distinct["person"] == tied["node"], "left").select("session_key", F.coalesce("root", "person").alias("person"), "label")
     by_label = distinct.groupBy("person", F.coalesce("label", F.lit("")).alias("label")).agg(F.count(F.lit(1)).alias("n"))
     labels = F.array_sort(F.collect_list(F.struct("label", "n")))
-    main = F.concat(F.lit("main "), F.max_by("label", F.struct("n", "label")))
-    components = by_label.groupBy("person").agg(F.sum("n").alias("size"), labels.alias("labels"), F.to_json(labels).alias("full"), main.alias("main"))
-    components = materialize(components, "components")
-    fine = components.select("*", F.col("full").alias("profile"), F.col("size").alias("as_size"))
-    coarse = components.select("*", F.col("main").alias("profile"), F.col("size").alias("as_size"))
-    coarsest = components.select("*", F.col("main").alias("profile"), F.expr("cast(power(2, floor(log2(size))) as long)").alias("as_size"))
-    for choice in (fine, coarse, coarsest):
-        bundles = choice.groupBy("as_size", "profile").agg(F.count(F.lit(1)).alias("count"))
-        found = bundles.orderBy("as_size", "profile").limit(MOST_BUNDLES + 1).collect()
-        if len(found) <= MOST_BUNDLES:
-            break
-    else:
-        raise ValueError("too many label profiles")
-    # what a component of each bundle has in rows and in rows of each label, on average where profiles are coarse
-    has = choice.select("as_size", "profile", F.inline("labels")).groupBy("as_size", "profile", "label").agg(F.sum("n").alias("n")).collect()
-    place = {(r["as_size"], r["profile"]): i for i, r in enumerate(found)}
+    components = by_label.groupBy("person").agg(F.sum("n").alias("size"), labels.alias("labels"), F.max_by("label", F.struct("n", "label")).alias("main"))
+    components = materialize(components.withColumn("profile", F.to_json("labels")), "components")
+    groups = components.groupBy("size", "main").agg(F.count(F.lit(1)).alias("count")).toArrow().sort_by([("size", "ascending"), ("main", "ascending")]).to_pylist()
+    has = components.select("size", "main", F.inline("labels")).groupBy("size", "main", "label").agg(F.sum("n").alias("n")).toArrow().to_pylist()
+    place = {(r["size"], r["main"]): i for i, r in enumerate(groups)}
     kinds = {label: i for i, label in enumerate(sorted({r["label"] for r in has}))}
-    each = np.zeros((len(found), len(kinds)))
+    each = np.zeros((len(groups), len(kinds)))
     for r in has:
-        i = place[r["as_size"], r["profile"]]
-        each[i, kinds[r["label"]]] = r["n"] / found[i]["count"]
-    sent = allocate([(round(x), r["count"]) for x, r in zip(each.sum(1).tolist(), found, strict=True)], list(proportions.values()), each)
-    spark = sessions.sparkSession
-    limits = []
-    for r, counts in zip(found, sent, strict=True):
-        at = 0
-        for name, count in zip(names, counts, strict=True):
-            limits.append((r["as_size"], r["profile"], name, at, at + count))
-            at += count
-    limits = spark.createDataFrame(limits, "as_size long, profile string, split string, from long, to long")
-    # rank of each member of a bundle by hash: counts of hash buckets first, then within a bucket
-    hashed = choice.select("person", "as_size", "profile", F.xxhash64(F.lit(seed), "person").alias("hash")).withColumn("bucket", F.pmod("hash", F.lit(RANK_BUCKETS)))
-    before = Window.partitionBy("as_size", "profile").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    base = hashed.groupBy("as_size", "profile", "bucket").agg(F.count(F.lit(1)).alias("n")).select("as_size", "profile", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    within = Window.partitionBy("as_size", "profile", "bucket").orderBy("hash", "person")
-    ranked = hashed.join(base, ["as_size", "profile", "bucket"]).withColumn("rank", F.col("base") + F.row_number().over(within) - 1)
-    dealt = ranked.join(limits, ["as_size", "profile"]).where("rank >= `from` and rank < `to`").select("person", "split")
+        i = place[r["size"], r["main"]]
+        each[i, kinds[r["label"]]] = r["n"] / groups[i]["count"]
+    sent = allocate([(r["size"], r["count"]) for r in groups], list(proportions.values()), each)
+    upto = np.cumsum(np.array(sent, np.int64).reshape(-1, len(names)), 1)
+    told = pa.table({"size": pa.array([r["size"] for r in groups], pa.int64()), "main": pa.array([r["main"] for r in groups], pa.string()), "upto": pa.array(upto.tolist(), pa.list_(pa.int64()))})
+    limits = sessions.sparkSession.createDataFrame(told)
+    hashed = components.select("person", "size", "main", "profile", F.xxhash64(F.lit(seed), "person").alias("hash"))
+    bundled = _ranked(hashed, ["size", "main", "profile"], F.pmod("hash", F.lit(1 << 20)) / F.lit(float(1 << 20)), [F.col("hash"), F.col("person")], "_rank")
+    spread = bundled.withColumn("_at", (F.col("_rank") + 0.5) / F.col("_n")).drop("_n", "_rank")
+    ranked = _ranked(spread, ["size", "main"], F.col("_at"), [F.col("_at"), F.col("hash"), F.col("person")], "rank")
+    to = F.size(F.filter("upto", lambda u: u <= F.col("rank"))) + 1
+    dealt = ranked.join(limits, ["size", "main"]).select("person", F.element_at(F.array(*[F.lit(x) for x in names]), to).alias("split"))
     return distinct.join(dealt, "person").select("session_key", "split", "person")
 
 

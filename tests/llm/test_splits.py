@@ -111,3 +111,39 @@ def test_one_person_holds_a_third_of_the_rows(spark):
     data = [(f"trn_p0_s{i}_x", None, "p0", "ar1", 1, "y") for i in range(1000)] + [(f"trn_p{p}_s0_x", None, f"p{p}", "abcde"[p % 5], 1, "y") for p in range(1, 2001)]
     out = splits.assign(spark.createDataFrame(data, SESSIONS), spark.createDataFrame([], "old_id string, new_id string"))
     assert {r["split"]: r["sessions"] for r in splits.reached(out).collect()} == {"train": 2400, "dev": 300, "eval": 300}
+
+
+def least_cost(bundles, shares):
+    """The least squared deviation of all ways to deal the components, tried one by one."""
+    total = sum(s * n for s, n in bundles)
+    quota = [p * total for p in shares]
+    reach = {(0, 0)}
+    for s, n in bundles:
+        reach = {(a + s * x, b + s * y) for a, b in reach for x in range(n + 1) for y in range(n + 1 - x)}
+    return min((a - quota[0]) ** 2 + (b - quota[1]) ** 2 + (total - a - b - quota[2]) ** 2 for a, b in reach)
+
+
+@pytest.mark.parametrize("shares", [[0.8, 0.1, 0.1], [0.5, 0.3, 0.2]])
+def test_allocation_costs_least_of_all(shares):
+    rng = np.random.default_rng(1)
+    for _ in range(12):
+        m = rng.integers(1, 7)
+        bundles = sorted({int(s): int(n) for s, n in zip(rng.integers(1, 30, m), rng.integers(1, 5, m), strict=True)}.items())
+        quota = np.array(shares) * sum(s * n for s, n in bundles)
+        assert ((np.array(sizes(bundles, splits.allocate(bundles, shares))) - quota) ** 2).sum() <= least_cost(bundles, shares) + 1e-6
+
+
+def test_allocation_of_a_hundred_sizes():
+    bundles = [(s, 1) for s in range(100, 200)]
+    reached = sizes(bundles, splits.allocate(bundles, [0.8, 0.1, 0.1]))
+    assert all(abs(x - share * 14_950) <= 1 for x, share in zip(reached, (0.8, 0.1, 0.1), strict=True))
+
+
+def test_bundles_are_spread_evenly(spark):
+    # persons of one size in four profiles: each split gets its share of every profile
+    data = [(f"trn_p{p}_s{i}_x", None, f"p{p}", ("ar1", "le2")[(i + p // 2) % (1 + p % 2)], 1, "y") for p in range(1000) for i in range(2)]
+    out = splits.assign(spark.createDataFrame(data, SESSIONS), spark.createDataFrame([], "old_id string, new_id string")).collect()
+    kind = {key: label for key, _, _, label, *_ in data}
+    for label, total in (("ar1", 1500), ("le2", 500)):
+        got = [sum(r["split"] == s and kind[r["session_key"]] == label for r in out) for s in ("train", "dev", "eval")]
+        assert all(abs(n - share * total) <= 4 for n, share in zip(got, (0.8, 0.1, 0.1), strict=True)), got
