@@ -85,9 +85,13 @@ def structural_index(lines: pa.Array) -> dict[str, np.ndarray]:
 def _field(index: dict[str, np.ndarray], rows: np.ndarray, k: int) -> pa.Array:
     """Texts of field k of the given lines, outer quotes removed and inner ones undoubled."""
     at = index["first"][rows] + k
-    raw = index["data"].tobytes() if len(rows) else b""
-    texts = [raw[a:b] for a, b in zip(index["begin"][at].tolist(), index["end"][at].tolist(), strict=True)]
-    return pa.array([t[1:-1].replace(b'""', b'"') if t[:1] == b'"' else t for t in texts], pa.binary()).cast(pa.string())
+    begin, end, data = index["begin"][at], index["end"][at], index["data"]
+    quoted = (end > begin) & (data[np.minimum(begin, max(len(data) - 1, 0))] == 34) if len(data) else np.zeros(len(at), bool)
+    begin, size = begin + quoted, end - begin - 2 * quoted
+    edge = np.concatenate(([0], np.cumsum(size)))
+    inner = data[np.arange(int(edge[-1])) + np.repeat(begin - edge[:-1], size)]
+    texts = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(edge.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(inner)))
+    return pc.replace_substring(texts, '""', '"').cast(pa.string()) if quoted.any() else texts.cast(pa.string())
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,13 +119,12 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             start[rows[kept]], stop[rows[kept]] = a[valid], b[valid]
             for k, name in ((0, "channel"), (3, "label"), (4, "confidence")):
                 out[name][rows[kept]] = _field(index, kept, k).to_numpy(zero_copy_only=False)
-        for i in np.flatnonzero(no == DURATION_LINE):  # one line of a file
-            found = pc.extract_regex(pa.array([filled[i].as_py()]), DURATION)[0].as_py()
-            value = float(found["secs"]) if found else 0.0
-            if value > 0 and np.isfinite(value):
-                duration[i] = value
-            else:
-                reason[i] = "invalid_value"
+        heads = np.flatnonzero(no == DURATION_LINE)
+        if len(heads):
+            value = _numbers(pc.struct_field(pc.extract_regex(filled.take(pa.array(heads)), DURATION), "secs"))
+            valid = np.isfinite(value) & (value > 0)
+            duration[heads[valid]] = value[valid]
+            reason[heads[~valid]] = "invalid_value"
         real = lambda x: pa.array(x, pa.float64(), mask=np.isnan(x))
         text_of = lambda x: pa.array(x, pa.string())
         yield pa.RecordBatch.from_arrays(
@@ -144,6 +147,14 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     return wanted.mapInArrow(_parse, PARSED)
 
 
+def rows_and_durations(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The valid rows, and (csv_bi_path, duration) of files whose third line holds one; each line is parsed once."""
+    heads = parse_lines(lines.where(F.col("line_no") == DURATION_LINE))
+    durations = heads.where("duration is not null").groupBy("csv_bi_path").agg(F.max("duration").alias("duration"))
+    body = parse_lines(lines.where((F.col("line_no") > HEADER_LINES) | F.col("line_no").isNull()))
+    return body.where("start_time is not null").drop("duration", "reason"), durations
+
+
 def rejected_lines(lines: DataFrame) -> DataFrame:
     """(line_id, csv_bi_path, line_no, reason) of the lines that can't be loaded."""
     return parse_lines(lines).where("reason is not null").select("line_id", "csv_bi_path", "line_no", "reason")
@@ -155,8 +166,6 @@ def loaded_rows(lines: DataFrame) -> DataFrame:
     A file whose third line is rejected or missing gives its rows with a null duration. Of
     several duration lines of one path (a file delivered twice) the greatest value counts.
     """
-    parsed = parse_lines(lines)
-    durations = parsed.where("duration is not null").groupBy("csv_bi_path").agg(F.max("duration").alias("duration"))
-    rows = parsed.where("start_time is not null").drop("duration", "reason")
+    rows, durations = rows_and_durations(lines)
     same = rows["csv_bi_path"].eqNullSafe(durations["csv_bi_path"])
     return rows.join(durations, same, "left").select(*[rows[c] for c in rows.columns], durations["duration"])

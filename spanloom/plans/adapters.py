@@ -20,13 +20,13 @@ _ORDER = ["ingested_at", "edf_path", "label", "channel", "start_time", "stop_tim
 
 
 def milli(c: str) -> Column:
-    return F.round(F.col(c) * 1000) / F.lit(1000.0)
+    return F.round(F.col(c) * 1000) / F.lit(1000.0) + F.lit(0.0)
 
 
 def annotations(spark: SparkSession, d: str, tags: tuple[str, ...] | None = None) -> DataFrame:
     """Rows of master_full in file time, each master_id once, with usable times, labels and channels."""
     m = table(spark, d, "master_full")
-    usable = F.col("edf_path").isNotNull() & F.col("label").isNotNull() & F.col("channel").isNotNull() & F.col("session_key").isNotNull() & F.col("start_time").isNotNull() & F.col("stop_time").isNotNull() & ~F.isnan("start_time") & ~F.isnan("stop_time")
+    usable = F.col("edf_path").isNotNull() & F.col("label").isNotNull() & F.col("channel").isNotNull() & F.col("start_time").isNotNull() & F.col("stop_time").isNotNull() & ~F.isnan("start_time") & ~F.isnan("stop_time")
     one = m.where(usable).groupBy("master_id").agg(F.min(F.struct(*_ORDER)).alias("r")).select("master_id", "r.*")
     rows = one.withColumns({"label": clean_label(F.col("label")), "channel": clean_channel(F.col("channel")), "start_time": milli("start_time"), "stop_time": milli("stop_time")})
     rows = rows.where("start_time >= 0 and stop_time > start_time")
@@ -51,13 +51,11 @@ def session_rows(spark: SparkSession, d: str) -> DataFrame:
 
 
 def channels_of_vectors(spark: SparkSession, d: str) -> DataFrame:
-    """embeddings as recordings of 17 channels with 64 samples at 16 Hz; the last one only if whole."""
+    """embeddings as recordings of 17 channels with 64 samples at 16 Hz; the last one may lack channels."""
     names = F.array(*[F.lit(c) for c in schema.CHANNELS])
     k = len(schema.CHANNELS)
     e = table(spark, d, "embeddings").where("vec_id is not null and embedding is not null")
-    rows = e.select(F.floor(F.col("vec_id") / k).cast("long").alias("recording"), F.element_at(names, (F.pmod("vec_id", F.lit(k)) + 1).cast("int")).alias("channel"), F.col("embedding").cast("array<double>").alias("samples"))
-    whole = rows.groupBy("recording").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == k)
-    return rows.join(whole, "recording", "left_semi")
+    return e.select(F.floor(F.col("vec_id") / k).cast("long").alias("recording"), F.element_at(names, (F.pmod("vec_id", F.lit(k)) + 1).cast("int")).alias("channel"), F.col("embedding").cast("array<double>").alias("samples"))
 
 
 def onto_recordings(rows: DataFrame, vectors: DataFrame) -> DataFrame:
@@ -70,9 +68,9 @@ _LIST = lambda xs: "(" + ", ".join(f"'{x}'" for x in xs) + ")"
 ICTAL_SQL, TAGS_SQL = _LIST(schema.ICTAL), _LIST(TAGS)
 
 ANN = """
-m0 as (select *, row_number() over (partition by master_id order by ingested_at nulls first, edf_path, label, channel, start_time, stop_time, csv_path nulls first, split nulls first, session_key, confidence nulls first, is_valid nulls first, status nulls first) as rn
-  from master_full where edf_path is not null and label is not null and channel is not null and session_key is not null and start_time is not null and stop_time is not null and not isnan(start_time) and not isnan(stop_time)),
-m1 as (select edf_path, csv_path, split, session_key, upper(regexp_replace(channel, '\\s+', '', 'g')) as channel, round(start_time * 1000) / 1000.0 as start_time, round(stop_time * 1000) / 1000.0 as stop_time,
+m0 as (select *, row_number() over (partition by master_id order by ingested_at nulls first, edf_path, label, channel, start_time, stop_time, csv_path nulls first, split nulls first, session_key nulls first, confidence nulls first, is_valid nulls first, status nulls first) as rn
+  from master_full where edf_path is not null and label is not null and channel is not null and start_time is not null and stop_time is not null and not isnan(start_time) and not isnan(stop_time)),
+m1 as (select edf_path, csv_path, split, session_key, upper(regexp_replace(channel, '\\s+', '', 'g')) as channel, round(start_time * 1000) / 1000.0 + 0.0 as start_time, round(stop_time * 1000) / 1000.0 + 0.0 as stop_time,
     lower(regexp_replace(label, '^\\s+|\\s+$', '', 'g')) as label, confidence, is_valid, status, master_id as n from m0 where rn = 1),
 ann as (select * from m1 where start_time >= 0 and stop_time > start_time)"""
 
@@ -114,10 +112,11 @@ ALL = f"""{EV},
 mixed as (select {_C}, start_time, stop_time, label, confidence, is_valid, status, 0 as stage, n, 0 as k from g union all select * from pre union all select * from post union all select * from bg),
 act as (select *, coalesce(session_key, edf_path) as grp, coalesce(is_valid, false) or ends_with(label, '_sopbuffer') as active,
     case when label in {ICTAL_SQL} then 1 when label like 'x%' then 6 when label like 'c%' then 5 when label like 'p%' then 2 when label = 'interictal' then 0 else 1 end as prio from mixed),
-live as (select *, row_number() over (order by grp, channel, prio desc, start_time, edf_path, stage, n, k) as rid from act where active),
+live as materialized (select *, row_number() over (order by grp, channel, prio desc, start_time, edf_path, stage, n, k) as rid from act where active),
 cuts as (select distinct grp, channel, t from (select grp, channel, start_time as t from live union all select grp, channel, stop_time from live)),
 elem as (select grp, channel, t as a, lead(t) over (partition by grp, channel order by t) as b from cuts),
-own as (select e.grp, e.channel, e.a, e.b, min(rid) as rid from elem e join live l on e.grp = l.grp and e.channel = l.channel and l.start_time < e.b and l.stop_time > e.a where e.b is not null group by 1, 2, 3, 4),
+held as materialized (select grp, channel, list({{'rid': rid, 's': start_time, 'e': stop_time}} order by rid) as held from live group by 1, 2),
+own as (select * from (select grp, channel, a, b, list_filter(held, lambda r: r.s < b and r.e > a)[1].rid as rid from elem join held using (grp, channel) where b is not null) where rid is not null),
 runs as (select *, sum(fresh) over (partition by rid order by a) as piece from (select *, case when lag(b) over (partition by rid order by a) = a then 0 else 1 end as fresh from own)),
 pieces as (select rid, min(a) as a, max(b) as b from runs group by rid, piece),
 res as (select {_C}, p.a as start_time, p.b as stop_time, label, confidence, is_valid, status from pieces p join live using (rid)
@@ -146,5 +145,5 @@ placed as (select coalesce(aso.f, lo.edf_path, aso.edf_path) as edf_path, csv_pa
 
 
 VEC = f"""
-v0 as (select vec_id // 17 as recording, ({list(schema.CHANNELS)!r})[vec_id % 17 + 1] as channel, embedding::double[] as samples from embeddings where vec_id is not null and embedding is not null),
-vec as (select * from v0 where recording in (select recording from v0 group by 1 having count(*) = 17))"""
+vec as (select vec_id // 17 as recording, ({list(schema.CHANNELS)!r})[vec_id % 17 + 1] as channel, embedding::double[] as samples from embeddings where vec_id is not null and embedding is not null)"""
+LAST = "last as (select max(recording) + 1 as recordings from vec)"

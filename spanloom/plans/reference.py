@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spanloom import schema
@@ -10,7 +10,7 @@ from spanloom.functions import channels, labels, samples
 from spanloom.operators import annotate, dsp, intervals, match, signals, windows
 from spanloom.plans import adapters as A
 from spanloom.plans.pipeline import MasterConfig, build_master, session_signals
-from spanloom.session import materialize, shared_dir, table
+from spanloom.session import materialize, scratch, table
 from spanloom.sinks import tables
 from spanloom.sources import annotations as source
 
@@ -35,6 +35,11 @@ def _rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, 6) for c in columns})
 
 
+def _plain(x: Column) -> Column:
+    """Rounded; zero without sign."""
+    return F.round(x, 6) + F.lit(0.0)
+
+
 def _master(df: DataFrame) -> DataFrame:
     return _rounded(df.select(*MASTER), *_TIMES)
 
@@ -312,19 +317,19 @@ def _segments(spark: SparkSession, d: str) -> DataFrame:
 def _measured(df: DataFrame) -> DataFrame:
     """Number, sum and first reading of pieces, so that results stay small."""
     total = F.aggregate("segment", F.lit(0.0), lambda a, x: a + F.coalesce(F.when(F.abs(x) < 1e6, x.cast("double")), F.lit(0.0)))
-    return df.withColumns({"n": F.size("segment"), "total": F.round(total, 3)}).drop("segment")
+    return df.withColumns({"n": F.size("segment"), "total": F.round(total, 3) + F.lit(0.0)}).drop("segment")
 
 
 @query(f"""
 with {_SEG}, p as (select segment_id, i * 32 as seg_start_sample, segment[i * 32 + 1 : i * 32 + 32] as x from (select *, unnest(range(0, case when len(segment) >= 32 then (len(segment) - 32) // 32 + 1 else 0 end)) as i from sg))
-select segment_id, seg_start_sample, len(x) as n, round(coalesce(list_sum(list_transform(x, lambda v: case when abs(v::double) < 1e6 then v::double else 0.0 end)), 0), 3) as total from p""")
+select segment_id, seg_start_sample, len(x) as n, round(coalesce(list_sum(list_transform(x, lambda v: case when abs(v::double) < 1e6 then v::double else 0.0 end)), 0), 3) + 0.0 as total from p""")
 def array_windows_fixed(spark: SparkSession, d: str) -> DataFrame:
     return _measured(signals.segment_fixed(_segments(spark, d).select("segment_id", "segment"), "segment", 32))
 
 
 @query(f"""
 with {_SEG}, p as (select segment_id, i * 16 as seg_start_sample, segment[i * 16 + 1 : i * 16 + 64] as x from (select *, unnest(range(0, case when len(segment) >= 64 then (len(segment) - 64) // 16 + 1 else 0 end)) as i from sg))
-select segment_id, seg_start_sample, len(x) as n, round(coalesce(list_sum(list_transform(x, lambda v: case when abs(v::double) < 1e6 then v::double else 0.0 end)), 0), 3) as total from p""")
+select segment_id, seg_start_sample, len(x) as n, round(coalesce(list_sum(list_transform(x, lambda v: case when abs(v::double) < 1e6 then v::double else 0.0 end)), 0), 3) + 0.0 as total from p""")
 def array_windows_sliding(spark: SparkSession, d: str) -> DataFrame:
     return _measured(signals.segment_fixed(_segments(spark, d).select("segment_id", "segment"), "segment", 64, 16))
 
@@ -341,7 +346,7 @@ def adaptive_step(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"""
 with {A.VEC}, p as (select recording, channel, i as epoch, samples[i * 16 + 1 : i * 16 + 16] as x from (select *, unnest(range(0, len(samples) // 16)) as i from vec))
-select recording, channel, epoch, len(x) as n, round(list_sum(x), 3) as total from p""")
+select recording, channel, epoch, len(x) as n, round(list_sum(x), 3) + 0.0 as total from p""")
 def epochs(spark: SparkSession, d: str) -> DataFrame:
     return _measured(signals.epochs(A.channels_of_vectors(spark, d), "samples", 16.0))
 
@@ -351,10 +356,10 @@ _PAIRS = ", ".join(f"({i}, '{a}', '{b}')" for i, (a, b) in enumerate(schema.PAIR
 
 @query(f"""
 with {A.VEC}, pr(pair, a, b) as (values {_PAIRS}), x as (select l.recording, pair, a || '-' || b as name, l.samples as sa, r.samples as sb from pr join vec l on l.channel = a join vec r on r.channel = b and r.recording = l.recording)
-select recording, pair, name, list_transform(range(1, len(sa) + 1), lambda i: round(sa[i] - sb[i], 6)) as samples from x""")
+select recording, pair, name, list_transform(range(1, len(sa) + 1), lambda i: round(sa[i] - sb[i], 6) + 0.0) as samples from x""")
 def bipolar_montage(spark: SparkSession, d: str) -> DataFrame:
     out = signals.montage(A.channels_of_vectors(spark, d), ["recording"])
-    return out.withColumn("samples", F.transform("samples", lambda x: F.round(x, 6)))
+    return out.withColumn("samples", F.transform("samples", _plain))
 
 
 # Artifact masks
@@ -422,26 +427,21 @@ def percent_flagged(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""
-with {A.ANN}, {A.VEC}, {_DOTS}, e as (select n as master_id, n % 100 as recording, 'FP1' as channel, label, start_time / 40 as s, stop_time / 40 as t from ann),
-c as (select e.*, mask, least(greatest(round_even(s * 16, 0)::int, 0), 64) as a, least(greatest(round_even(t * 16, 0)::int, 0), 64) as b from e join dt using (recording, channel))
-select master_id, label, a as first_sample, b as last_sample, round(100.0 * list_sum(list_transform(mask[a + 1 : b], lambda m: m::int)) / (b - a), 1) as overlap_percent, lower(label) = 'bckg' as is_background from c where b > a""")
+with {A.ANN}, {A.VEC}, {_DOTS}, {A.LAST}, e as (select n as master_id, n % recordings as recording, label, start_time / 40 as s, stop_time / 40 as t from ann, last),
+c as (select e.*, channel, mask, least(greatest(round_even(s * 16, 0)::int, 0), 64) as a, least(greatest(round_even(t * 16, 0)::int, 0), 64) as b from e join dt using (recording))
+select master_id, recording, channel, label, a as first_sample, b as last_sample, round(100.0 * list_sum(list_transform(mask[a + 1 : b], lambda m: m::int)) / (b - a), 1) as overlap_percent, lower(label) = 'bckg' as is_background from c where b > a""")
 def event_mask_overlap(spark: SparkSession, d: str) -> DataFrame:
-    n = F.col("_seq.n")
-    events = A.annotations(spark, d).select(n.alias("master_id"), (n % 100).alias("recording"), F.lit("FP1").alias("channel"), "label", (F.col("start_time") / 40).alias("start_time"), (F.col("stop_time") / 40).alias("stop_time"))
-    met = signals.event_overlap(events, _dotted(spark, d).drop("samples"), ["recording", "channel"], 16.0)
-    return met.select("master_id", "label", "first_sample", "last_sample", "overlap_percent", "is_background")
-
-
-@query()
-def event_mask_overlap_all(spark: SparkSession, d: str) -> DataFrame:
-    """event_mask_overlap over all recordings and every channel of each."""
+    """Every row on the recording of its number, over all recordings, against every channel."""
     masks = _dotted(spark, d).drop("samples")
-    rows = A.onto_recordings(A.annotations(spark, d), masks)
-    events = rows.select(F.col("_seq.n").alias("master_id"), "recording", "label", (F.col("start_time") / 40).alias("start_time"), (F.col("stop_time") / 40).alias("stop_time"))
-    met = signals.event_overlap(events, masks, ["recording"], 16.0)
+    met = signals.event_overlap(_events_of(spark, d, masks), masks, ["recording"], 16.0)
     return met.select("master_id", "recording", "channel", "label", "first_sample", "last_sample", "overlap_percent", "is_background")
 
 
+def _events_of(spark: SparkSession, d: str, vectors: DataFrame) -> DataFrame:
+    rows = A.onto_recordings(A.annotations(spark, d), vectors)
+    return rows.select(F.col("_seq.n").alias("master_id"), "recording", "label", (F.col("start_time") / 40).alias("start_time"), (F.col("stop_time") / 40).alias("stop_time"))
+
+
 # Channel names
 
 
@@ -465,21 +465,23 @@ def channel_match_fuzzy(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""
-with {A.ANN}, {A.VEC}, w as (select distinct n % 100 as recording, channel as name from ann where contains(channel, '-')), s as (select *, split_part(name, '-', 1) as a, split_part(name, '-', 2) as b from w)
-select s.recording, name, list_transform(range(1, 65), lambda i: round(l.samples[i] - r.samples[i], 6)) as samples from s join vec l on l.recording = s.recording and l.channel = a join vec r on r.recording = s.recording and r.channel = b""")
+with {A.ANN}, {A.VEC}, {A.LAST}, w as (select distinct n % recordings as recording, channel as name from ann, last where contains(channel, '-')), s as (select *, split_part(name, '-', 1) as a, split_part(name, '-', 2) as b from w)
+select s.recording, name, list_transform(range(1, 65), lambda i: round(l.samples[i] - r.samples[i], 6) + 0.0) as samples from s join vec l on l.recording = s.recording and l.channel = a join vec r on r.recording = s.recording and r.channel = b""")
 def derived_channels(spark: SparkSession, d: str) -> DataFrame:
-    wanted = A.annotations(spark, d).select((F.col("_seq.n") % 100).alias("recording"), "channel").distinct()
-    out = match.derive_missing(wanted, A.channels_of_vectors(spark, d), ["recording"], cutoff=1.0)
-    return out.withColumn("samples", F.transform("samples", lambda x: F.round(x, 6)))
+    """Over all recordings, by equal names."""
+    v = A.channels_of_vectors(spark, d)
+    return match.derive_missing(_wanted(spark, d, v), v, ["recording"], cutoff=1.0).withColumn("samples", F.transform("samples", _plain))
 
 
 @query()
 def derived_channels_all(spark: SparkSession, d: str) -> DataFrame:
-    """derived_channels over all recordings, by likely names too; names that lack a source have null samples."""
+    """derived_channels by likely names too; names that lack a source have null samples."""
     v = A.channels_of_vectors(spark, d)
-    wanted = A.onto_recordings(A.annotations(spark, d), v).select("recording", "channel").distinct()
-    out = match.derive_missing(wanted, v, ["recording"], unresolved=True)
-    return out.withColumn("samples", F.transform("samples", lambda x: F.round(x, 6)))
+    return match.derive_missing(_wanted(spark, d, v), v, ["recording"], unresolved=True).withColumn("samples", F.transform("samples", _plain))
+
+
+def _wanted(spark: SparkSession, d: str, vectors: DataFrame) -> DataFrame:
+    return A.onto_recordings(A.annotations(spark, d), vectors).select("recording", "channel").distinct()
 
 
 # Spectra and filters
@@ -497,18 +499,12 @@ def cv_by_bin(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""
-with recursive {A.VEC}, l as (select recording, list_sort(list_distinct(list_transform(samples, lambda v: round(abs(v) * 100)))) as f from vec where channel = 'FP1'),
-st(recording, f, i, anchor, total, n, out) as (
-  select recording, f, 1, f[1], f[1], 1, []::double[] from l
-  union all select recording, f, i + 1, case when f[i + 1] - anchor < 2 then anchor else f[i + 1] end, case when f[i + 1] - anchor < 2 then total + f[i + 1] else f[i + 1] end, case when f[i + 1] - anchor < 2 then n + 1 else 1 end, case when f[i + 1] - anchor < 2 then out else list_append(out, total / n) end from st where i < len(f))
-select recording, list_transform(list_append(out, total / n), lambda x: round(x, 6)) as freqs from st where i = len(f)""")
+with recursive {A.VEC}, l as (select recording, channel, list_sort(list_distinct(list_transform(samples, lambda v: round(abs(v) * 100)))) as f from vec),
+st(recording, channel, f, i, anchor, total, n, out) as (
+  select recording, channel, f, 1, f[1], f[1], 1, []::double[] from l
+  union all select recording, channel, f, i + 1, case when f[i + 1] - anchor < 2 then anchor else f[i + 1] end, case when f[i + 1] - anchor < 2 then total + f[i + 1] else f[i + 1] end, case when f[i + 1] - anchor < 2 then n + 1 else 1 end, case when f[i + 1] - anchor < 2 then out else list_append(out, total / n) end from st where i < len(f))
+select recording, channel, list_transform(list_append(out, total / n), lambda x: round(x, 6)) as freqs from st where i = len(f)""")
 def freq_grouping(spark: SparkSession, d: str) -> DataFrame:
-    return freq_grouping_all(spark, d).where("channel = 'FP1'").select("recording", "freqs")
-
-
-@query()
-def freq_grouping_all(spark: SparkSession, d: str) -> DataFrame:
-    """freq_grouping of every channel."""
     freqs = F.array_sort(F.array_distinct(F.transform("samples", lambda v: F.round(F.abs(v) * 100))))
     return A.channels_of_vectors(spark, d).select("recording", "channel", F.transform(dsp.group_frequencies(freqs), lambda x: F.round(x, 6)).alias("freqs"))
 
@@ -562,29 +558,19 @@ def session_concat(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""
-with {A.VEC}, {A.ANN}, b as (select (recording // 4)::varchar as session_key, channel, (recording % 4) * 64 as first, samples from vec),
+with {A.VEC}, {A.ANN}, {A.LAST}, b as (select (recording // 4)::varchar as session_key, channel, (recording % 4) * 64 as first, samples from vec),
 o as (select distinct (recording // 4)::varchar as session_key, recording, (recording % 4) * 64 as a, (recording % 4) * 64 + 64 as z from vec),
-e as (select distinct n % 100 as recording, label, is_valid, start_time / 40 as s, stop_time / 40 as t from ann where is_valid),
+e as (select distinct n % recordings as recording, label, is_valid, start_time / 40 as s, stop_time / 40 as t from ann, last where is_valid),
 c as (select e.*, session_key, least(greatest(a + round_even(s * 16, 0)::bigint, a), z) as p, least(greatest(a + round_even(t * 16, 0)::bigint, a), z) as q, a from e join o using (recording))
-select c.recording, c.session_key, channel, label, round(s, 6) as start_time, round(t, 6) as stop_time, p as seg_start_sample, q - p as n, round(list_sum(samples[p - a + 1 : q - a]), 3) as total from c join b on b.session_key = c.session_key and b.first = a where q > p""")
+select c.recording, c.session_key, channel, label, round(s, 6) as start_time, round(t, 6) as stop_time, p as seg_start_sample, q - p as n, round(list_sum(samples[p - a + 1 : q - a]), 3) + 0.0 as total from c join b on b.session_key = c.session_key and b.first = a where q > p""")
 def extract_segments(spark: SparkSession, d: str) -> DataFrame:
-    a = A.annotations(spark, d)
-    return _extracted(A.channels_of_vectors(spark, d), a.withColumn("recording", F.col("_seq.n") % 100))
-
-
-@query()
-def extract_segments_all(spark: SparkSession, d: str) -> DataFrame:
-    """extract_segments over all recordings."""
+    """Every row on the recording of its number, over all recordings."""
     v = A.channels_of_vectors(spark, d)
-    return _extracted(v, A.onto_recordings(A.annotations(spark, d), v))
-
-
-def _extracted(v: DataFrame, annotated: DataFrame) -> DataFrame:
     key = F.floor(F.col("recording") / 4).cast("string")
     first = (F.col("recording") % 4 * 64).cast("long")
     blocks = v.select(key.alias("session_key"), "channel", first.alias("start_sample"), "samples")
     offsets = v.select("recording").distinct().select(F.col("recording").cast("string").alias("edf_path"), key.alias("session_key"), first.alias("start_sample"), (first + 64).alias("end_sample"))
-    rows = annotated.withColumns({"edf_path": F.col("recording").cast("string"), "start_time": F.col("start_time") / 40, "stop_time": F.col("stop_time") / 40}).drop("recording")
+    rows = A.onto_recordings(A.annotations(spark, d), v).withColumns({"edf_path": F.col("recording").cast("string"), "start_time": F.col("start_time") / 40, "stop_time": F.col("stop_time") / 40}).drop("recording")
     cut = signals.extract(rows, offsets, blocks, 16.0)
     out = _measured(cut.withColumnRenamed("samples", "segment"))
     return _rounded(out.select(F.col("edf_path").cast("long").alias("recording"), "session_key", "channel", "label", *_TIMES, "seg_start_sample", "n", "total"), *_TIMES)
@@ -597,7 +583,7 @@ def _extracted(v: DataFrame, annotated: DataFrame) -> DataFrame:
 def parquet_convert_verify(spark: SparkSession, d: str) -> DataFrame:
     import uuid
 
-    where = f"{shared_dir(spark)}/converted-{uuid.uuid4().hex}"
+    where = f"{scratch(spark)}/converted-{uuid.uuid4().hex}"
     return tables.convert_verified(_segments(spark, d).select("segment_id", F.col("segment").cast("array<double>").alias("segment")), where, ["segment_id"], "segment")
 
 
@@ -605,7 +591,7 @@ def parquet_convert_verify(spark: SparkSession, d: str) -> DataFrame:
 def master_csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     import uuid
 
-    where = f"{shared_dir(spark)}/master-{uuid.uuid4().hex}"
+    where = f"{scratch(spark)}/master-{uuid.uuid4().hex}"
     tables.write_master(A.annotations(spark, d), where)
     return _master(tables.read_master(spark, where))
 

@@ -31,21 +31,38 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a temporary one where it is unset (tests, local runs)."""
+    """The folder all executors share: spark.checkpoint.dir.
+
+    Only a local master, whose executors are on this machine, gets a temporary one where it is
+    unset; on a cluster that raises ValueError.
+    """
     told = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not told:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         told = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
         spark.sparkContext.setCheckpointDir(told)
     return told.rstrip("/")
 
 
+def scratch(spark: SparkSession) -> str:
+    """The folder of this application's written tables below the shared one."""
+    return f"{shared_dir(spark)}/spanloom-{spark.sparkContext.applicationId}"
+
+
+def release(spark: SparkSession) -> bool:
+    """Delete the tables that this application wrote; frames that read them can't be used any more. True if there were any."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch(spark))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df once as a table in the shared folder and read it back.
 
     Cuts the lineage so that costly work runs once, survives the loss of executors, and
-    gives later joins the true size of the data.
+    gives later joins the true size of the data. release deletes the tables of an application.
     """
     spark = df.sparkSession
-    where = os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    where = os.path.join(scratch(spark), f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(where)
     return spark.read.schema(df.schema).parquet(where)

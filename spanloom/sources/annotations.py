@@ -76,14 +76,14 @@ def session_events(lines: DataFrame, session_of: DataFrame, label: str = "seiz")
     """
     from pyspark.sql import Window
 
-    from spanloom.operators.rejects import parse_lines
+    from spanloom.operators.rejects import rows_and_durations
 
-    parsed = parse_lines(lines)
-    durations = parsed.where("duration is not null").groupBy("csv_bi_path").agg(F.max("duration").alias("duration_s"))
+    parsed, durations = rows_and_durations(lines)
+    durations = durations.withColumnRenamed("duration", "duration_s")
     order = Window.partitionBy("session_key").orderBy("csv_bi_path")
     ahead = F.coalesce(F.sum("duration_s").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
     clock = durations.join(session_of.select("csv_bi_path", "session_key").distinct(), "csv_bi_path").withColumn("offset_s", F.round(ahead, 6))
-    rows = parsed.where((F.col("start_time").isNotNull()) & (F.trim("label") == label)).select("csv_bi_path", "start_time", "end_time").distinct()
+    rows = parsed.where(F.trim("label") == label).select("csv_bi_path", "start_time", "end_time").distinct()
     return rows.join(clock, "csv_bi_path").select("session_key", "csv_bi_path", "start_time", "end_time", (F.col("offset_s") + F.col("start_time")).alias("session_start"), (F.col("offset_s") + F.col("end_time")).alias("session_end"))
 
 
