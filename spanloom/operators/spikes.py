@@ -3,9 +3,9 @@
 Per source, residuals are readings less the source's median and its seasonal profile (the
 phase within half a second). A generalised Pareto distribution is fitted to the excesses of
 either tail over a threshold, and its quantile at a fixed risk is the tail's cutoff. Readings
-beyond a cutoff are candidates; a cutoff never exceeds the distance that the spike rule asks
-for, so the exact rule that follows sees every case. Duration and plausibility rules find
-stuck and impossible readings.
+beyond a cutoff are candidates; for them a cutoff never exceeds the distance that the spike rule
+asks for, so the exact rule that follows sees every case. Duration and plausibility rules find
+stuck and impossible readings. exceedances lists what lies beyond the cutoffs as fitted.
 
 Segments of one source meet in one task, up to CHUNK_SEGMENTS of them. A source of more is
 dealt to several chunks; its median and spread then come from counted distinct values, its
@@ -35,13 +35,15 @@ SPREAD = 1.4826
 TOLERANCE = 1e-6
 #: Season: readings per period and bins of a profile; the profile stays within one spread.
 PERIOD, BINS = 128, 16
-#: Tail threshold and cap of excesses in spreads; risk of a cutoff.
-TAIL, TAIL_CAP, RISK = 2.5, 10.0, 1e-4
+#: Tail threshold in spreads, risk of a cutoff, and the ratios of shape to scale that are tried, by one spread.
+TAIL, RISK = 2.5, 1e-4
+THETAS = 2.0 ** (np.arange(-16, 9) / 2)
 
 SOURCE = ["edf_path", "channel"]
 KINDS = np.array(["impossible", "spike", "stuck"])
 FOUND = "segment_id long, kind string"
 FITS = "edf_path string, channel string, readings long, median double, spread double, excesses_low long, shape_low double, scale_low double, excesses_high long, shape_high double, scale_high double, cutoff_low double, cutoff_high double"
+RUNS = "segment_id long, side string, first_sample int, readings int, peak double, cutoff double, probability double"
 
 
 def clean_channel(channel: Column) -> Column:
@@ -98,30 +100,72 @@ def profile(sums: np.ndarray, counts: np.ndarray, spread: float) -> np.ndarray:
 
 
 def tail_sums(residual: np.ndarray, spread: float) -> np.ndarray:
-    """Number, sum and squares of excesses of the low, then of the high tail."""
+    """Of the low, then of the high tail: number, sum and squares of excesses, and the sums of log(1 + t * excess) for each t of THETAS.
+
+    All add up over parts of a source, and no excess is capped.
+    """
     out = []
     for side in (-residual, residual):
-        y = np.minimum(side[side > TAIL * spread] - TAIL * spread, TAIL_CAP * spread)
-        out += [len(y), y.sum(), (y * y).sum()]
+        y = side[side > TAIL * spread] - TAIL * spread
+        out += [len(y), y.sum(), (y * y).sum(), *(np.log1p(t * y).sum() for t in THETAS / (spread or 1.0))]
     return np.array(out)
 
 
-def cutoff(count: float, total: float, squares: float, readings_: float, spread: float, season: np.ndarray) -> tuple[float, float, float]:
-    """Shape, scale and cutoff of a tail by the moments of its excesses."""
-    most = SPIKE_SPREADS * spread - float(np.abs(season).max(initial=0))
-    shape = scale = np.nan
-    at = TAIL * spread
-    if count >= 2 and total > 0:
-        mean = total / count
-        variance = max(squares / count - mean * mean, 1e-300)
-        ratio = mean * mean / variance
-        shape = float(np.clip(0.5 * (1 - ratio), -0.5, 0.5))
-        scale = mean * (1 - shape)
-        rate = max(readings_ * RISK / count, 1e-300)
-        at += scale * (-np.log(rate) if abs(shape) < 1e-9 else (rate**-shape - 1) / shape)
+@dataclass
+class Tail:
+    """A generalised Pareto fit of the excesses over a threshold; rate is the share of readings beyond it."""
+
+    count: int
+    threshold: float
+    shape: float = np.nan
+    scale: float = np.nan
+    rate: float = np.nan
+
+    @property
+    def cutoff(self) -> float:
+        """The residual that a reading exceeds with probability RISK; NaN without a fit."""
+        ratio = self.rate / RISK
+        return self.threshold + self.scale * (np.log(ratio) if abs(self.shape) < 1e-9 else (ratio**self.shape - 1) / self.shape)
+
+    def probability(self, residual: np.ndarray) -> np.ndarray:
+        """With which a reading lies further than residual."""
+        y = np.maximum(residual - self.threshold, 0) / self.scale
+        if abs(self.shape) < 1e-9:
+            return self.rate * np.exp(-y)
+        with np.errstate(divide="ignore"):
+            return self.rate * np.maximum(1 + self.shape * y, 0) ** (-1 / self.shape)
+
+
+def fit_tail(sums: np.ndarray, readings_: int, spread: float) -> Tail:
+    """The fit of one tail from its sums; none from fewer than two excesses.
+
+    Heavy tails by maximum likelihood over the ratios THETAS of shape to scale, where the
+    likeliest shape is the mean of log(1 + t * excess); where no ratio is likelier than an
+    exponential tail, by moments with a shape from -0.5 to 0.
+    """
+    count, total, squares = float(sums[0]), float(sums[1]), float(sums[2])
+    tail = Tail(int(count), TAIL * spread)
+    if count < 2 or not total > 0:
+        return tail
+    tail.rate = count / readings_
+    theta = THETAS / (spread or 1.0)
+    shape = np.asarray(sums[3:], float) / count
+    likely = -(np.log(shape / theta) + shape + 1)
+    mean = total / count
+    best = int(np.argmax(likely))
+    if likely[best] > -(np.log(mean) + 1):
+        tail.shape, tail.scale = float(shape[best]), float(shape[best] / theta[best])
     else:
-        at = most
-    return shape, scale, float(min(max(at, 0.0), most))
+        variance = max(squares / count - mean * mean, 1e-300)
+        tail.shape = float(np.clip(0.5 * (1 - mean * mean / variance), -0.5, 0.0))
+        tail.scale = mean * (1 - tail.shape)
+    return tail
+
+
+def candidate_cutoff(tail: Tail, spread: float, season: np.ndarray) -> float:
+    """The fit's cutoff, but at most the distance within which the spike rule can hold; that distance without a fit."""
+    most = SPIKE_SPREADS * spread - float(np.abs(season).max(initial=0))
+    return float(min(max(tail.cutoff, 0.0), most)) if tail.count >= 2 and not np.isnan(tail.cutoff) else most
 
 
 def kinds_of(r: Readings, rows: slice, flat: slice, median: float, spread: float, season: np.ndarray, low: float, high: float, resolution: np.ndarray, only_candidates: bool = False) -> np.ndarray:
@@ -184,16 +228,71 @@ def _resolution(table: pa.Table) -> np.ndarray:
     return pc.fill_null(table["resolution"], np.nan).to_numpy().astype(np.float64)
 
 
-def _fit(r: Readings, flat: slice) -> tuple[int, float, float, np.ndarray, np.ndarray, tuple, tuple]:
+@dataclass
+class Fit:
+    """What a source normally shows; cutoffs as distances from median and season."""
+
+    readings: int
+    median: float
+    spread: float
+    season: np.ndarray
+    low: Tail
+    high: Tail
+
+    @classmethod
+    def of(cls, readings_: int, median: float, spread: float, season: np.ndarray, tails: np.ndarray) -> Fit:
+        if not readings_:
+            return cls(0, np.nan, np.nan, np.zeros(BINS), Tail(0, np.nan), Tail(0, np.nan))
+        half = len(tails) // 2
+        return cls(readings_, median, spread, season, fit_tail(tails[:half], readings_, spread), fit_tail(tails[half:], readings_, spread))
+
+    @classmethod
+    def of_row(cls, get) -> Fit:
+        """From the aggregated statistics of a source of many chunks."""
+        n = get("readings") or 0
+        return cls.of(n, get("median"), get("spread"), np.array(get("season") or [0.0] * BINS), np.array(get("tails") or [0.0] * (2 * (3 + len(THETAS)))))
+
+    def candidates(self) -> tuple[float, float]:
+        return candidate_cutoff(self.low, self.spread, self.season), candidate_cutoff(self.high, self.spread, self.season)
+
+    def row(self) -> tuple:
+        tails = [x for t in (self.low, self.high) for x in (t.count, t.shape, t.scale)]
+        return (self.readings, self.median, self.spread, *tails, self.low.cutoff, self.high.cutoff)
+
+
+def _fit(r: Readings, flat: slice) -> Fit:
     usable = r.usable[flat]
     x, phase = r.value[flat][usable], r.phase[flat][usable]
     median, spread = median_and_spread(x)
     if not len(x):
-        return 0, median, spread, np.zeros(BINS), np.zeros(6), (np.nan,) * 3, (np.nan,) * 3
+        return Fit.of(0, median, spread, np.zeros(BINS), np.zeros(0))
     season = profile(*profile_sums(x, phase, median, spread), spread)
-    tails = tail_sums(x - median - season[phase], spread)
-    low, high = cutoff(*tails[:3], len(x), spread, season), cutoff(*tails[3:], len(x), spread, season)
-    return len(x), median, spread, season, tails, low, high
+    return Fit.of(len(x), median, spread, season, tail_sums(x - median - season[phase], spread))
+
+
+def runs_beyond(r: Readings, rows: slice, flat: slice, fit: Fit) -> list[tuple]:
+    """(row, side, first sample, readings, peak, cutoff, probability) of the runs of usable readings beyond a tail's own cutoff."""
+    out: list[tuple] = []
+    if not fit.readings:
+        return out
+    x, row, usable = r.value[flat], r.row[flat] - rows.start, r.usable[flat]
+    at = np.arange(len(x)) - np.repeat(np.cumsum(r.length[rows]) - r.length[rows], r.length[rows])
+    with np.errstate(invalid="ignore"):
+        residual = x - fit.median - fit.season[r.phase[flat]]
+    for side, tail, away in (("low", fit.low, -residual), ("high", fit.high, residual)):
+        if tail.count < 2:
+            continue
+        with np.errstate(invalid="ignore"):
+            far = usable & (away > tail.cutoff)
+        where = np.flatnonzero(far)
+        if not len(where):
+            continue
+        starts = np.flatnonzero(np.concatenate(([True], (np.diff(where) > 1) | (np.diff(row[where]) > 0))))
+        peak = np.maximum.reduceat(away[where], starts)
+        size = np.diff(np.concatenate((starts, [len(where)])))
+        first = where[starts]
+        out += [(int(row[i]), side, int(at[i]), int(n), float(p), tail.cutoff, float(q)) for i, n, p, q in zip(first.tolist(), size.tolist(), peak.tolist(), tail.probability(peak).tolist(), strict=True)]
+    return out
 
 
 def _batch_found(ids: list[np.ndarray], kinds: list[np.ndarray]) -> pa.RecordBatch:
@@ -217,8 +316,8 @@ def _flag_whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for table in whole_groups(batches, SOURCE):
         ids, kinds = [], []
         for part, r, rows, flat in _sources(table, SOURCE):
-            _, median, spread, season, _, low, high = _fit(r, flat)
-            _append(kinds_of(r, rows, flat, median, spread, season, low[2], high[2], _resolution(part)[rows]), part, rows, ids, kinds)
+            fit = _fit(r, flat)
+            _append(kinds_of(r, rows, flat, fit.median, fit.spread, fit.season, *fit.candidates(), _resolution(part)[rows]), part, rows, ids, kinds)
         yield _batch_found(ids, kinds)
 
 
@@ -226,24 +325,14 @@ def _fit_whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for table in whole_groups(batches, SOURCE):
         out = []
         for part, r, rows, flat in _sources(table, SOURCE):
-            n, median, spread, _, tails, low, high = _fit(r, flat)
-            out.append((part["edf_path"][rows.start].as_py(), part["channel"][rows.start].as_py(), n, median, spread, int(tails[0]), low[0], low[1], int(tails[3]), high[0], high[1], low[2], high[2]))
+            out.append((part["edf_path"][rows.start].as_py(), part["channel"][rows.start].as_py(), *_fit(r, flat).row()))
         yield _batch_fits(out)
 
 
 def _fit_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Fits of sources of many chunks from their statistics; as of _fit_whole where no reading is usable."""
     for batch in batches:
-        out = []
-        for r in batch.to_pylist():
-            n, median, spread, tails = r["readings"] or 0, r["median"], r["spread"], r["tails"] or [0.0] * 6
-            if not n:
-                median = spread = np.nan
-                low = high = (np.nan,) * 3
-            else:
-                season = np.array(r["season"])
-                low, high = cutoff(*tails[:3], n, spread, season), cutoff(*tails[3:], n, spread, season)
-            out.append((r["edf_path"], r["channel"], n, median, spread, int(tails[0]), low[0], low[1], int(tails[3]), high[0], high[1], low[2], high[2]))
+        out = [(r["edf_path"], r["channel"], *Fit.of_row(r.get).row()) for r in batch.to_pylist()]
         if out:
             yield _batch_fits(out)
 
@@ -282,13 +371,28 @@ def _flag_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, kinds = [], []
         for part, r, rows, flat in _sources(table, [*SOURCE, "chunk"]):
             get = lambda c: part[c][rows.start].as_py()  # noqa: B023, E731
-            median, spread = (np.nan if get(c) is None else get(c) for c in ("median", "spread"))
-            season, tails, n = np.array(get("season") or [0.0] * BINS), np.array(get("tails") or [0.0] * 6), get("readings") or 0
-            low, high = cutoff(*tails[:3], n, spread, season), cutoff(*tails[3:], n, spread, season)
-            _append(kinds_of(r, rows, flat, median, spread, season, low[2], high[2], _resolution(part)[rows]), part, rows, ids, kinds)
+            fit = Fit.of_row(get)
+            _append(kinds_of(r, rows, flat, fit.median, fit.spread, fit.season, *fit.candidates(), _resolution(part)[rows]), part, rows, ids, kinds)
         yield _batch_found(ids, kinds)
 
 
+def _batch_runs(table: pa.Table, rows: slice, runs: list[tuple]) -> pa.RecordBatch:
+    ids = table["segment_id"].combine_chunks().take(pa.array([k + rows.start for k, *_ in runs], pa.int64()))
+    types = [pa.string(), pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.float64()]
+    columns = zip(zip(*[x[1:] for x in runs], strict=True), types, strict=True)
+    return pa.RecordBatch.from_arrays([ids, *[pa.array(c, t) for c, t in columns]], names=[x.split()[0] for x in RUNS.split(", ")])
+
+
+def _runs(keys: list[str], fit_of):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, keys):
+            for part, r, rows, flat in _sources(table, keys):
+                if runs := runs_beyond(r, rows, flat, fit_of(part, r, rows, flat)):
+                    yield _batch_runs(part, rows, runs)
+
+    return work
+
+
 def _placed(segments: DataFrame, master: DataFrame, recordings: DataFrame, chunk_segments: int) -> tuple[DataFrame, bool]:
     """Segments with source, chunk, range and resolution; whether any source has several chunks.
 
@@ -366,3 +470,20 @@ def tail_fits(segments: DataFrame, master: DataFrame, recordings: DataFrame, chu
     stats = ["median", "spread", "readings", "season", "tails"]
     sources = _with_statistics(full.where("split")).groupBy(*SOURCE).agg(*[F.first(c).alias(c) for c in stats])
     return whole.unionByName(sources.mapInArrow(_fit_sums, FITS))
+
+
+def exceedances(segments: DataFrame, master: DataFrame, recordings: DataFrame, chunk_segments: int = CHUNK_SEGMENTS) -> DataFrame:
+    """(segment_id, side, first_sample, readings, peak, cutoff, probability): runs of readings beyond their source's fitted cutoffs.
+
+    Here the fits alone decide: a run is consecutive usable readings whose residual (reading
+    less median and season) lies further on one side than the tail's cutoff at RISK. peak is the
+    run's furthest residual, probability that of a reading further out under the fit. Sources
+    with fewer than two excesses on a side have no fit there and no run.
+    """
+    full, any_split = _placed(segments, master, recordings, chunk_segments)
+    whole = _sorted(full.where(~F.col("split"))).mapInArrow(_runs(SOURCE, lambda part, r, rows, flat: _fit(r, flat)), RUNS)
+    if not any_split:
+        return whole
+    parts = _with_statistics(full.where("split"))
+    given = lambda part, r, rows, flat: Fit.of_row(lambda c: part[c][rows.start].as_py())
+    return whole.unionByName(_sorted(parts).mapInArrow(_runs([*SOURCE, "chunk"], given), RUNS))

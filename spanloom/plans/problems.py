@@ -17,6 +17,15 @@ def p1_tail_fits(spark: SparkSession, d: str) -> DataFrame:
     return spikes.tail_fits(table(spark, d, "segments"), table(spark, d, "master_full"), table(spark, d, "recordings"))
 
 
+def p1_sources(spark: SparkSession, d: str) -> DataFrame:
+    real = lambda c: F.when(~F.isnan(c), F.round(c, 6)).alias(c)
+    return p1_tail_fits(spark, d).select("edf_path", "channel", "readings", real("median"), real("spread"))
+
+
+def p1_exceedances(spark: SparkSession, d: str) -> DataFrame:
+    return spikes.exceedances(table(spark, d, "segments"), table(spark, d, "master_full"), table(spark, d, "recordings"))
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return rejects.rejected_lines(table(spark, d, "csv_bi")).select("line_id", "reason")
 
@@ -39,7 +48,7 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return coverage.labelled_coverage(table(spark, d, "master_full"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_tail_fits, p3_found, p3_rows, p4_found, p4_files, p5_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_tail_fits, p1_sources, p1_exceedances, p3_found, p3_rows, p4_found, p4_files, p5_found)}
 
 _NUMBER = r"[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?"
 _BODY = r"""
@@ -59,9 +68,8 @@ heads as (
   select *, regexp_extract(t, 'duration[ \t]*=[ \t]*(%s)[ \t]*secs[ \t]*$', 1) as secs from lines where line_no = 3)
 """ % (_NUMBER, _NUMBER, _NUMBER)
 
-ORACLES = {
-    "p1_found": """
-with ch as (select master_id, min(upper(regexp_replace(channel, '\\s+', '', 'g'))) as channel from master_full group by 1),
+_READINGS = """
+ch as (select master_id, min(upper(regexp_replace(channel, '\\s+', '', 'g'))) as channel from master_full group by 1),
 h as (select edf_path, max(physical_min) as lo, max(physical_max) as hi, max(resolution) as res from recordings group by 1),
 seg as (select distinct on (segment_id) segment_id, edf_path, master_id, segment from segments),
 r0 as (select segment_id, edf_path, master_id, unnest(segment) as v, generate_subscripts(segment, 1) as i from seg),
@@ -70,7 +78,11 @@ r as (select r0.segment_id, r0.edf_path, ch.channel, i, v::double as v, res,
       from r0 left join ch using (master_id) left join h using (edf_path)),
 m as (select edf_path, channel, median(v) as med from r where ok group by 1, 2),
 s as (select r.edf_path, r.channel, any_value(med) as med, 1.4826 * median(abs(v - med)) as spread
-      from r join m on r.edf_path = m.edf_path and r.channel is not distinct from m.channel where ok group by 1, 2),
+      from r join m on r.edf_path = m.edf_path and r.channel is not distinct from m.channel where ok group by 1, 2)"""
+
+ORACLES = {
+    "p1_found": f"""
+with {_READINGS},
 f as (select r.*, coalesce(ok and abs(v - med) > 10 * spread, false) as far
       from r left join s on r.edf_path = s.edf_path and r.channel is not distinct from s.channel),
 g as (select segment_id, i - row_number() over (partition by segment_id, far order by i) as run, far from f),
@@ -81,6 +93,11 @@ select distinct segment_id, 'impossible' as kind from f where v is not null and
 union all select distinct segment_id, 'spike' from (select segment_id, run from g where far group by 1, 2 having count(*) <= 5)
 union all select distinct segment_id, 'stuck' from w where i >= 32 and fin = 32 and mx - mn <= res + 1e-6 * greatest(abs(mx), abs(mn))
 """,
+    "p1_sources": f"""
+with {_READINGS}, k as (select distinct edf_path, channel from (select seg.edf_path, ch.channel from seg left join ch using (master_id) where segment_id is not null))
+select k.edf_path, k.channel, coalesce(n, 0) as readings, round(med, 6) as median, round(spread, 6) as spread
+from k left join s on k.edf_path is not distinct from s.edf_path and k.channel is not distinct from s.channel
+  left join (select edf_path, channel, count(*) as n from r where ok group by 1, 2) c on k.edf_path is not distinct from c.edf_path and k.channel is not distinct from c.channel""",
     "p3_found": f"with {_BODY} select line_id, reason from reasoned where reason is not null union all select line_id, 'invalid_value' from heads where secs = '' or secs::double <= 0",
     "p3_rows": f"""with {_BODY}, d as (select csv_bi_path, max(secs::double) as duration from heads where secs <> '' and secs::double > 0 group by 1)
 select line_id, csv_bi_path, a::double as start_time, b::double as end_time, duration from reasoned left join d using (csv_bi_path) where reason is null""",

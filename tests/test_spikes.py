@@ -108,6 +108,37 @@ def test_cutoffs_never_exceed_the_rule():
         phase = rng.integers(0, spikes.BINS, 500)
         season = spikes.profile(*spikes.profile_sums(x, phase, median, spread), spread)
         tails = spikes.tail_sums(x - median - season[phase], spread)
-        for k in (0, 3):
-            _, _, at = spikes.cutoff(*tails[k : k + 3], 500, spread, season)
+        for part in np.split(tails, 2):
+            at = spikes.candidate_cutoff(spikes.fit_tail(part, 500, spread), spread, season)
             assert 0 <= at <= spikes.SPIKE_SPREADS * spread - np.abs(season).max() + 1e-12
+
+
+@pytest.mark.parametrize("shape", [-0.2, 0.0, 0.3, 0.8, 1.5])
+def test_fits_find_the_tail(shape):
+    rng = np.random.default_rng(5)
+    y = -np.log(rng.random(20_000)) if shape == 0 else (rng.random(20_000) ** -shape - 1) / shape
+    excess = np.concatenate((y + spikes.TAIL, np.zeros(180_000)))
+    sums = np.split(spikes.tail_sums(excess, 1.0), 2)[1]
+    tail = spikes.fit_tail(sums, len(excess), 1.0)
+    assert abs(tail.shape - shape) < 0.1 and abs(tail.scale - 1) < 0.15
+    beyond = (excess > tail.cutoff).mean()
+    assert 0.3 * spikes.RISK < beyond < 3 * spikes.RISK
+    assert tail.probability(np.array([tail.cutoff]))[0] == pytest.approx(spikes.RISK)
+
+
+def test_exceedances_by_the_fits_alone(spark, rows):
+    rng = np.random.default_rng(2)
+    data = [(i, 3, "q", 0, [float(np.float32(v)) for v in rng.normal(0, 5, 128)], "clash", "x") for i in range(200)]
+    for i, at, value in ((7, 5, 43.0), (9, 100, -44.0), (9, 101, -46.0)):  # within ten spreads, beyond what the source shows
+        data[i][4][at] = value
+    df = spark.createDataFrame(data, SEG)
+    master = spark.createDataFrame([(3, "T3")], "master_id long, channel string")
+    recordings = spark.createDataFrame([("q", -500.0, 500.0, 0.1)], REC)
+    got = spikes.exceedances(df, master, recordings).collect()
+    parts = spikes.exceedances(df, master, recordings, 9).collect()
+    key = lambda r: (r["segment_id"], r["side"], r["first_sample"], r["readings"])
+    assert sorted(map(key, got)) == sorted(map(key, parts))
+    assert {(7, "high", 5, 1), (9, "low", 100, 2)} <= {key(r) for r in got} and len(got) < 15
+    assert all(r["probability"] < spikes.RISK and r["peak"] > r["cutoff"] for r in got)
+    assert rows(spikes.implausible(df, master, recordings)) == []
+    assert spikes.exceedances(df.limit(0), master, recordings).count() == 0
