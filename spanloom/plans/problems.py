@@ -34,21 +34,38 @@ def p3_rows(spark: SparkSession, d: str) -> DataFrame:
     return rejects.loaded_rows(table(spark, d, "csv_bi")).select("line_id", "csv_bi_path", "start_time", "end_time", "duration")
 
 
+def _consolidated(spark: SparkSession, d: str) -> tuple[str, DataFrame]:
+    return compaction.consolidate_segments(table(spark, d, "segments"), table(spark, d, "segment_files"))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    joined = compaction.consolidated_segments(table(spark, d, "segments"), table(spark, d, "segment_files"))
-    return compaction.repeated_keys(joined).select(F.col("key").alias("segment_id"))
+    return compaction.repeated_keys(_consolidated(spark, d)[1]).select(F.col("key").alias("segment_id"))
 
 
 def p4_files(spark: SparkSession, d: str) -> DataFrame:
-    joined = compaction.consolidated_segments(table(spark, d, "segments"), table(spark, d, "segment_files"))
-    return joined.select("bin", "frames", "records", "raw_bytes", "bytes", "valid", F.size("dropped").alias("copies_dropped"))
+    return compaction.file_sizes(_consolidated(spark, d)[1])
+
+
+def p4_totals(spark: SparkSession, d: str) -> DataFrame:
+    """Records kept and copies dropped, and whether every file keeps to its size."""
+    f = p4_files(spark, d)
+    return f.agg(F.sum("records").cast("long").alias("records"), F.sum("copies_dropped").cast("long").alias("copies_dropped"), F.max(F.col("bytes") <= compaction.TARGET_BYTES).alias("in_size"))
+
+
+def p4_records(spark: SparkSession, d: str) -> DataFrame:
+    """Every record as it is read from the consolidated files, its readings counted and summed."""
+    lines = compaction.read_consolidated(*_consolidated(spark, d))
+    kinds = table(spark, d, "segments").select("segment_id", "label", "segment").schema
+    r = lines.select(F.from_json("line", kinds).alias("r")).select("r.*")
+    whole = F.aggregate("segment", F.lit(0.0), lambda a, x: a + F.when(F.abs(x) < 1e6, x.cast("double")).otherwise(0.0))
+    return r.select("segment_id", "label", F.when(F.col("segment").isNotNull(), F.size("segment")).alias("readings"), F.round(whole, 3) + F.lit(0.0)).toDF("segment_id", "label", "readings", "total")
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return coverage.labelled_coverage(table(spark, d, "master_full"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_tail_fits, p1_sources, p1_exceedances, p3_found, p3_rows, p4_found, p4_files, p5_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_tail_fits, p1_sources, p1_exceedances, p3_found, p3_rows, p4_found, p4_files, p4_totals, p4_records, p5_found)}
 
 _NUMBER = r"[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?"
 _BODY = r"""
@@ -102,6 +119,9 @@ from k left join s on k.edf_path is not distinct from s.edf_path and k.channel i
     "p3_rows": f"""with {_BODY}, d as (select csv_bi_path, max(secs::double) as duration from heads where secs <> '' and secs::double > 0 group by 1)
 select line_id, csv_bi_path, a::double as start_time, b::double as end_time, duration from reasoned left join d using (csv_bi_path) where reason is null""",
     "p4_found": "select segment_id from segments group by 1 having count(*) > 1",
+    "p4_totals": "select count(distinct segment_id) + count(*) filter (where segment_id is null) as records, count(segment_id) - count(distinct segment_id) as copies_dropped, true as in_size from segments",
+    "p4_records": """select segment_id, label, len(segment) as readings, round(coalesce(list_sum(list_transform(segment, lambda v: case when abs(v::double) < 1e6 then v::double else 0.0 end)), case when segment is not null then 0.0 end), 3) + 0.0 as total
+from (select distinct on (segment_id) * from segments where segment_id is not null order by segment_id, written_at, file_id) union all select segment_id, label, len(segment), round(list_sum(list_transform(segment, lambda v: case when abs(v::double) < 1e6 then v::double else 0.0 end)), 3) + 0.0 from segments where segment_id is null""",
     "p5_found": """
 with i as (select distinct edf_path, regexp_replace(lower(label), '^\\s+|\\s+$', '', 'g') as label, round(start_time * 1000)::bigint as s, round(stop_time * 1000)::bigint as e
   from master_full where edf_path is not null and label is not null and not isnan(start_time) and not isnan(stop_time)),

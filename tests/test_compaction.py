@@ -13,42 +13,48 @@ def records(spark):
     return spark.createDataFrame(data, SCHEMA)
 
 
-def content(out):
+FILES = "file_id long, n_bytes long"
+
+
+def check(spark, tmp_path, target_bytes=64 << 20):
+    target, manifest = compaction.consolidate_segments(records(spark), spark.createDataFrame([(10, 500)], FILES), f"file://{tmp_path}/out", target_bytes)
     lines = []
-    for r in out.collect():
-        assert r["valid"] and r["bytes"] == len(r["content"])
-        with zstandard.ZstdDecompressor().stream_reader(r["content"], read_across_frames=True) as f:
-            raw = f.read()
+    for r in manifest.where("name is not null").orderBy("name", "at").collect():  # every frame by itself, at its place
+        raw = (tmp_path / "out" / r["name"]).read_bytes()[r["at"] : r["at"] + r["bytes"]]
+        raw = zstandard.decompress(raw)
         assert len(raw) == r["raw_bytes"] and zlib.crc32(raw) == r["crc"]
-        lines += [json.loads(x) for x in raw.decode().splitlines()]
-    return lines
+        lines += raw.decode().splitlines()
+    assert sorted(lines) == sorted(r["line"] for r in compaction.read_consolidated(target, manifest).collect())
+    found = [json.loads(x) for x in lines]
+    assert sorted(x["segment_id"] for x in found if "segment_id" in x) == [1, 2, 3, 4, 5]
+    assert sum("segment_id" not in x for x in found) == 2
+    assert sorted(r["key"] for r in compaction.repeated_keys(manifest).collect()) == [1, 4]
+    sizes = compaction.file_sizes(manifest).where("name is not null").collect()
+    assert {r["name"] for r in sizes} == {x.name for x in (tmp_path / "out").iterdir() if not x.name.startswith(".")}
+    assert all(r["bytes"] == (tmp_path / "out" / r["name"]).stat().st_size for r in sizes)
+    assert sum(r["copies_dropped"] for r in compaction.file_sizes(manifest).collect()) == 3
+    return sizes
 
 
-def check(spark):
-    df = records(spark)
-    frames = compaction.frames_of_records(df, "segment_id", "file_id", "written_at", ["segment", "label", "bin", "part"])
-    out = compaction.consolidate(frames, 1000, 400, with_content=True)
-    lines = content(out)
-    assert sorted(x["segment_id"] for x in lines if "segment_id" in x) == [1, 2, 3, 4, 5]
-    assert sum("segment_id" not in x for x in lines) == 2
-    assert sorted(r["key"] for r in compaction.repeated_keys(out).collect()) == [1, 4]
+def test_each_record_once(spark, tmp_path):
+    assert len(check(spark, tmp_path)) == 1
 
 
-def test_each_record_once(spark):
-    check(spark)
+def test_files_keep_to_their_size(spark, tmp_path):
+    sizes = check(spark, tmp_path, 150)
+    assert len(sizes) > 1 and all(r["frames"] == 1 or r["bytes"] <= 150 for r in sizes)
 
 
-def test_large_files_in_parts(spark, monkeypatch):
+def test_large_files_in_parts(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(compaction, "FRAME_LINES", 2)
-    check(spark)
+    check(spark, tmp_path / "a")
     monkeypatch.setattr(compaction, "BROADCAST_FILES", 0)
-    check(spark)
+    check(spark, tmp_path / "b")
 
 
-def test_empty(spark):
-    df = records(spark).limit(0)
-    frames = compaction.frames_of_records(df, "segment_id", "file_id", "written_at", ["segment", "label"])
-    assert compaction.consolidate(frames, 0).count() == 0
+def test_empty(spark, tmp_path):
+    target, manifest = compaction.consolidate_segments(records(spark).limit(0), spark.createDataFrame([], FILES), f"file://{tmp_path}/out")
+    assert manifest.count() == 0 and compaction.read_consolidated(target, manifest).count() == 0
 
 
 def test_directory_of_text(spark, tmp_path):
@@ -57,7 +63,7 @@ def test_directory_of_text(spark, tmp_path):
     for i in range(40):
         (source / f"{i}.csv").write_text(f"k,v\n{i},a" + ("\n" if i % 2 else ""))
     (source / "empty.csv").write_text("")
-    done = compaction.compact_directory(spark, str(source), f"file://{tmp_path}/out", suffix=".csv", header_lines=1, target_bytes=150).collect()
+    done = compaction.compact_directory(spark, str(source), f"file://{tmp_path}/out", suffix=".csv", header_lines=1, target_bytes=60).collect()
     texts = [(tmp_path / "out" / r["name"]).read_text() for r in done]
     assert 1 < len(done) < 10 and sum(r["sources"] for r in done) == 40
     assert all(t.startswith("k,v\n") and t.count("k,v") == 1 for t in texts)
@@ -73,3 +79,11 @@ def test_directory_of_frames(spark, tmp_path):
     done = compaction.compact_directory(spark, str(source), f"file://{tmp_path}/out", suffix=".zst", target_bytes=10**6).collect()
     with zstandard.ZstdDecompressor().stream_reader((tmp_path / "out" / done[0]["name"]).read_bytes(), read_across_frames=True) as f:
         assert sorted(map(int, f.read().split())) == list(range(20))
+
+
+def test_header_longer_than_a_piece():
+    pieces = [b"a,", b"b", b"\n1,", b"2\n"]
+    head, rest = compaction._without_header(iter(pieces), 1)
+    assert head == b"a,b\n" and b"".join(rest) == b"1,2\n"
+    head, rest = compaction._without_header(iter([b"only"]), 2)
+    assert head == b"only" and b"".join(rest) == b""
