@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanloom.llm import abuse, mixing, splits, tokenizer
-from spanloom.session import table
+from spanloom.session import materialize, table
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -43,6 +43,17 @@ def p7_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.reached(p7_mix(spark, d), table(spark, d, "mix_targets"))
 
 
+def p7_invariants(spark: SparkSession, d: str) -> DataFrame:
+    """What must hold of p7_mix: no use of a document twice in a pass or beyond its source's cap, no share more than a document off its target."""
+    targets = table(spark, d, "mix_targets")
+    mixed = materialize(p7_mix(spark, d), "mixed")
+    twice = mixed.groupBy("doc_id", "repeat").agg(F.count(F.lit(1)).alias("n")).agg(F.count_if(F.col("n") > 1).alias("twice"))
+    told = mixing.reached(mixed, targets)
+    within = told.agg(F.count(F.lit(1)).alias("sources"), F.count_if(F.col("most_uses") > F.col("max_repeats")).alias("over_cap"), F.max(F.abs(F.col("actual_share") - F.col("target_share"))).alias("_off"), F.sum("tokens").alias("_all"))
+    largest = mixed.agg(F.max("tokens").alias("_largest"))
+    return within.crossJoin(twice).crossJoin(largest).select("sources", "twice", "over_cap", (F.col("_off") <= F.col("_largest") / F.col("_all")).alias("shares_met"))  # of one row each
+
+
 def p8_scores(spark: SparkSession, d: str) -> DataFrame:
     return abuse.scores(table(spark, d, "documents"), ["doc_id", "source"])
 
@@ -55,9 +66,10 @@ def p8_rates(spark: SparkSession, d: str) -> DataFrame:
     return abuse.rates(p8_scores(spark, d))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_splits, p2_shares, p2_invariants, p6_ids, p7_mix, p7_shares, p8_found, p8_scores, p8_rates)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_splits, p2_shares, p2_invariants, p6_ids, p7_mix, p7_shares, p7_invariants, p8_found, p8_scores, p8_rates)}
 
 ORACLES = {
+    "p7_invariants": "select count(*) as sources, 0 as twice, 0 as over_cap, true as shares_met from mix_targets",
     "p2_invariants": "select count(distinct session_key) as sessions, 0 as repeated, 0 as persons_apart, true as within_a_session from sessions",
     "p2_found": r"""
 with recursive s as (
