@@ -4,7 +4,8 @@ Writers hide words by digits for letters, signs over letters, blanks or dashes b
 repeated letters and look-alike alphabets. A character trigram model is counted over all
 documents; tokens that look disturbed are read as lattices of letters, of which Viterbi
 decoding finds the likeliest under the model and the costs of the disturbances. The restored
-text is scored sentence by sentence with weighted word lists and the company they keep.
+text is scored sentence by sentence by a logistic model over its words, their letters, and the
+senses of listed words beside each other, fitted on a labelled sample.
 """
 
 from __future__ import annotations
@@ -12,9 +13,12 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+import zlib
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import combinations
 
 import ahocorasick
 import numpy as np
@@ -22,17 +26,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanloom.llm import lexicon
+from spanloom.llm import labelled, lexicon
 from spanloom.llm.tokenizer import text_chunks
 
 #: Score from which a document counts as a case.
 THRESHOLD = 0.5
-#: Hypotheses kept at a position, and decoded tokens remembered by a worker.
-BEAM, REMEMBERED = 48, 100_000
-#: Log-probability that the model's letters are rather the start of a listed word.
+#: Decoded tokens remembered by a worker.
+REMEMBERED = 100_000
+#: Log-probability that the model's letters are rather listed words.
 LISTED_BONUS = 9.0
-#: Longest disturbed token that is decoded as one; longer runs are read in pieces of that length.
-PIECE = 40
+#: Words of a sentence that are scored together; longer ones are scored in stretches of that many, each overlapping half of the next.
+STRETCH = 40
+#: Buckets of hashed features; penalty, steps and rate of the fit.
+BUCKETS, PENALTY, STEPS, RATE = 1 << 18, 2e-6, 300, 0.1
+#: Weight of a plain sentence of the corpus beside a labelled one, and the score from which it is doubted.
+PLAIN_WEIGHT, DOUBT = 5.0, 0.1
+#: Documents drawn by hash whose sentences without listed words serve as plain ones, about, and such sentences at most.
+SAMPLE_DOCUMENTS, SAMPLE_SENTENCES = 500, 5000
 
 _INVISIBLE = re.compile(f"[{lexicon.INVISIBLE}]")
 _MARKS = re.compile("[̀-ͯ]")
@@ -47,6 +57,7 @@ _NOISY = re.compile(
 )
 _DISTURBED = re.compile(rf"[0-9{_SIGN}][^\W_]|[^\W_][0-9{_SIGN}]|([^\W_])\1\1|[a-z][{_LETTER[3:]}]|[{_LETTER[3:]}][a-z]")
 _NAME_AND_NUMBER = re.compile(rf"[{_LETTER}]{{3,}}[0-9]{{1,2}}|[0-9]+[{_LETTER}]{{1,2}}|@[{_LETTER}]+|[{_LETTER}]+[!|]+")
+_TOKEN = re.compile(r"[぀-ヿ一-鿿]+|[^\W_]+")
 _SENTENCE = re.compile(r"[.!?;…。！？\n]+(?=\s|$|[^\x00-\x7f])|\n")
 _UTF8_AS = re.compile("[ÃÐÑÂã][\u0080-¿€-™]|[РС][°-џЂ-Џ]")
 
@@ -88,8 +99,8 @@ def _entries(block: str) -> list[str]:
     return [fold(x.strip()) for line in lines for x in (line.split("|") if "|" in line else line.split()) if x.strip()]
 
 
-#: What a sentence must hold to be scored, and what counts then.
-CUES = ("INSULT", "MILD", "THREAT", "DEGRADE", "CREED", "EXPLICIT", "SENSUAL")
+#: Senses that a sentence is searched for, and those that count only beside them.
+CUES = ("INSULT", "MILD", "HARM", "DEGRADE", "EXPEL", "SLUR", "EXPLICIT", "SENSUAL")
 COMPANY = ("ADDRESS", "GROUP", "PERSON", "ABOUT")
 
 
@@ -134,6 +145,96 @@ def counted(hits: dict[tuple[int, int], frozenset[str]]) -> Counter:
     return count
 
 
+def words_of(text: str) -> list[str]:
+    """Words of a folded text; of scripts without blanks every two neighbouring characters."""
+    out = []
+    for w in _TOKEN.findall(text):
+        if w[0] >= "\u3040":
+            out += [w[i : i + 2] for i in range(max(1, len(w) - 1))]
+        else:
+            out.append(w)
+    return out
+
+
+def _bucket(feature: str) -> int:
+    return zlib.crc32(feature.encode()) % BUCKETS
+
+
+def word_features(word: str) -> dict[int, float]:
+    """A word and, weighing as much in all, its pieces of four letters."""
+    out: dict[int, float] = {_bucket("word " + word): 1.0}
+    padded = f"<{word}>"
+    pieces = [padded[i : i + 4] for i in range(len(padded) - 3)]
+    for piece in pieces:
+        k = _bucket("piece " + piece)
+        out[k] = out.get(k, 0.0) + 0.5 / len(pieces)
+    return out
+
+
+def sense_features(count: Counter) -> list[int]:
+    """Senses of a sentence, alone, repeated and beside each other."""
+    present = sorted(c for c in count if count[c])
+    names = ["one " + c for c in present] + ["more " + c for c in present if count[c] > 1] + [f"two {a} {b}" for a, b in combinations(present, 2)]
+    return [_bucket(n) for n in names]
+
+
+def _fit(row: np.ndarray, column: np.ndarray, value: np.ndarray, y: np.ndarray, weight: np.ndarray, w: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Weights and biases of a logistic model of each kind, from a sparse matrix with weighted rows, and the rows' log-odds; from w and bias on."""
+    kinds, columns = y.shape[1], len(w)
+    first, second, first_b, second_b = np.zeros_like(w), np.zeros_like(w), np.zeros(kinds), np.zeros(kinds)
+    for step in range(1, STEPS + 1):
+        z = np.stack([np.bincount(row, value * w[column, k], len(y)) for k in range(kinds)], 1) + bias
+        error = weight * (1 / (1 + np.exp(-z)) - y) / weight.sum()
+        slope = np.stack([np.bincount(column, value * error[row, k], columns) for k in range(kinds)], 1) + PENALTY * w
+        slope_b = error.sum(0)
+        first, first_b = 0.9 * first + 0.1 * slope, 0.9 * first_b + 0.1 * slope_b
+        second, second_b = 0.999 * second + 0.001 * slope**2, 0.999 * second_b + 0.001 * slope_b**2
+        fix = RATE * math.sqrt(1 - 0.999**step) / (1 - 0.9**step)
+        w -= fix * first / (np.sqrt(second) + 1e-8)
+        bias -= fix * first_b / (np.sqrt(second_b) + 1e-8)
+    return w, bias, z
+
+
+@lru_cache(maxsize=4)
+def fitted(plain: tuple[str, ...] = (), leave_out: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Weights (BUCKETS, kinds) and biases of the scorer, fitted on the labelled sample and plain sentences of the corpus.
+
+    Of plain those without a listed word count; those that still look like labelled ones (DOUBT)
+    are left out in a second fit. leave_out names a fifth of the labelled lines,
+    0 to 4, that take no part.
+    """
+    cues, company = Lists(CUES), Lists(COMPANY)
+    told = [(fold(t), k) for n, (_, t, k) in enumerate(labelled.sample(leave_out=leave_out))]
+    sentences = [t for t, _ in told] + [t for t in plain if not cues.hits(t)]
+    y = np.zeros((len(sentences), len(labelled.KINDS)))
+    y[: len(told)] = [k for _, k in told]
+    rows, columns, values = [], [], []
+    for n, text in enumerate(sentences):
+        features: Counter = Counter()
+        for w in set(words_of(text)):
+            features.update(word_features(w))
+        hits = cues.hits(text)
+        if hits:
+            features.update(sense_features(counted(hits) + counted(company.hits(text))))
+        rows += [n] * len(features)
+        columns += features.keys()
+        values += features.values()
+    row, column, value = np.array(rows), np.array(columns), np.array(values, float)
+    used = np.unique(column[row < len(told)])  # what only plain sentences have tells nothing
+    kept = np.isin(column, used)
+    weight = np.full((len(y), 1), PLAIN_WEIGHT)
+    weight[: len(told)] = 1.0
+    matrix = row[kept], np.searchsorted(used, column[kept]), value[kept]
+    w, bias, z = _fit(*matrix, y, weight, np.zeros((len(used), y.shape[1])), np.full(y.shape[1], -3.0))
+    doubted = (np.arange(len(y)) >= len(told)) & (z.max(1) > math.log(DOUBT / (1 - DOUBT)))
+    if doubted.any():
+        weight[doubted] = 0.0
+        w, bias, _ = _fit(*matrix, y, weight, w, bias)
+    weights = np.zeros((BUCKETS, y.shape[1]), np.float32)
+    weights[used] = w
+    return weights, bias
+
+
 class Model:
     """Interpolated character trigrams; words begin and end with a blank."""
 
@@ -165,12 +266,17 @@ class Model:
 
 
 class Restorer(dict):
-    """Viterbi decoding of disturbed tokens; remembers what stands between blanks as it was read."""
+    """Viterbi decoding of disturbed tokens; remembers what stands between blanks as it was read.
+
+    A state is the last two letters (what the model looks at), the beginning of a listed word
+    read since the last blank, or else how many letters, and whether only listed words and
+    words of two letters came before. No reading is left out, so the best one is found.
+    """
 
     def __init__(self, model: Model, words: set[str]):
         super().__init__()
         self.model, self.words, self.memory = model, words, {}
-        self.beginnings = {w[:i] for w in self.words for i in range(1, len(w) + 1)}
+        self.beginnings = {w[:i] for w in self.words for i in range(len(w) + 1)}
         self.latin, self.cyrillic = "abcdefghijklmnopqrstuvwxyz", "абвгдежзиклмнопрстуфхцчшщъыьэюя"
 
     def lattice(self, token: str) -> list[list[tuple[str, float]]]:
@@ -204,46 +310,78 @@ class Restorer(dict):
             i = run
         return out
 
+    def after(self, read: str | int, flag: int, c: str) -> tuple[str | int, int]:
+        """What was read of a word, and the flag, after one more letter or blank.
+
+        read is a beginning of listed words, or a number of letters up to 3; flag is 0 before
+        any word, 1 after listed words, 2 after words of two letters alone, 3 after another word.
+        """
+        if c == " ":
+            size = len(read) if isinstance(read, str) else read
+            if not size:
+                return "", flag
+            if isinstance(read, str) and read in self.words:
+                return "", 1 if flag < 3 else 3
+            return "", flag if size == 2 and flag == 1 else 2 if size == 2 and flag in (0, 2) else 3
+        if isinstance(read, str):
+            grown = read + c
+            return (grown if grown in self.beginnings else min(len(grown), 3)), flag
+        return min(read + 1, 3), flag
+
     def decode(self, token: str) -> str:
         found = self.memory.get(token)
         if found is not None:
             return found
-        beam = [(0.0, "  ")]
-        log = self.model.log
+        log, after = self.model.log, self.after
+        states: dict[tuple, float] = {("  ", "", 0): 0.0}
+        back: list[dict[tuple, tuple[tuple, str]]] = []
         for options in self.lattice(token):
-            grown: dict[str, list[tuple[float, str]]] = {}
-            for score, text in beam:
+            grown: dict[tuple, float] = {}
+            came: dict[tuple, tuple[tuple, str]] = {}
+            for state, score in states.items():
                 for letters, cost in options:
-                    s, t = score - cost, text
+                    s, (context, read, flag) = score - cost, state
                     for c in letters:
-                        s += log(t[-2:], c)
-                        t += c
-                    grown.setdefault(t[-3:], []).append((s, t))
-            beam = sorted((h for hs in grown.values() for h in sorted(hs, key=self.hope, reverse=True)[:3]), key=self.hope, reverse=True)[:BEAM]
-        best = max(beam, key=lambda h: h[0] + log(h[1][-2:], " ") + LISTED_BONUS * self.listed(h[1][2:]))[1][2:]
+                        s += log(context, c)
+                        context = context[1] + c
+                        read, flag = after(read, flag, c)
+                    to = (context, read, flag)
+                    if s > grown.get(to, -math.inf):
+                        grown[to], came[to] = s, (state, letters)
+            states = grown
+            back.append(came)
+        state = max(states, key=lambda x: states[x] + log(x[0], " ") + LISTED_BONUS * (after(x[1], x[2], " ")[1] == 1))
+        parts = []
+        for came in reversed(back):
+            state, letters = came[state]
+            parts.append(letters)
+        best = "".join(reversed(parts))
         if len(self.memory) >= REMEMBERED:
             self.memory.clear()
         self.memory[token] = best
         return best
 
-    def hope(self, hypothesis: tuple[float, str]) -> float:
-        """What the beam sorts by: beginnings of listed words stay in it."""
-        return hypothesis[0] + LISTED_BONUS * (hypothesis[1][2:].rpartition(" ")[2] in self.beginnings)
-
     def listed(self, text: str) -> bool:
-        words = text.split(" ")
+        words = [w for w in text.split(" ") if w]
         return any(w in self.words for w in words) and all(w in self.words or len(w) == 2 for w in words)
 
     def _read(self, match: re.Match) -> str:
         token = match.group(0)
-        if _NAME_AND_NUMBER.fullmatch(token):
-            return token
+        # a name with a number, a handle or a list mark, unless it reads as listed words
+        named = bool(_NAME_AND_NUMBER.fullmatch(token))
+        marked = token[0] in "@#$*_!|" and len(token) > 1 and token[1:].isalpha()
+        if named or marked:
+            read = self.decode(token)
+            if self.listed(read):
+                return read
+            if named:
+                return token
         head = tail = ""
-        if token[0] in "@#$*_!|" and len(token) > 1 and token[1:].isalpha():
-            head, token = token[0], token[1:]  # a handle or list mark
+        if marked:
+            head, token = token[0], token[1:]
         while token and token[-1] in "!|":
             token, tail = token[:-1], token[-1] + tail
-        return head + "".join(self.decode(token[i : i + PIECE]) for i in range(0, len(token), PIECE)) + tail
+        return head + (self.decode(token) if token else "") + tail
 
     def __missing__(self, token: str) -> str:
         if len(self) >= REMEMBERED:
@@ -256,56 +394,95 @@ class Restorer(dict):
         return " ".join(map(self.__getitem__, joined.split(" ")))
 
 
+class Words(dict):
+    """Number of each word met; rows of weights by that number."""
+
+    def __init__(self, weights: np.ndarray):
+        super().__init__()
+        self.weights, self.rows = weights, np.zeros((1024, weights.shape[1]))
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        n = len(self)
+        if n >= len(self.rows):
+            self.rows = np.concatenate((self.rows, np.zeros_like(self.rows)))
+        features = word_features(word)
+        self.rows[n] = np.fromiter(features.values(), float) @ self.weights[list(features)]
+        self[word] = n
+        return n
+
+    def sums(self, words: list[str]) -> np.ndarray:
+        """Running sums of the words' weights, from zero."""
+        out = np.zeros((len(words) + 1, self.weights.shape[1]))
+        for at in range(0, len(words), REMEMBERED // 2):
+            part = words[at : at + REMEMBERED // 2]
+            if len(self) + len(part) > REMEMBERED:
+                self.clear()
+            numbers = list(map(self.__getitem__, part))
+            out[at + 1 : at + 1 + len(part)] = self.rows[numbers]
+        return out.cumsum(0)
+
+
 class Scorer:
-    def __init__(self, counts: dict[str, float]):
+    def __init__(self, counts: dict[str, float], model: tuple[np.ndarray, np.ndarray] | None = None):
+        self.weights, self.bias = model or fitted()
         self.cues, self.company = Lists(CUES), Lists(COMPANY)
-        words = self.cues.words | self.company.words
+        taught = {w for _, sentence, kinds in labelled.sample() if any(kinds) for w in words_of(fold(sentence)) if len(w) > 2 and w < "\u3040"}
+        words = self.cues.words | self.company.words | taught
         self.restorer = Restorer(Model(counts, words), words)
-
-    def sentence(self, found: Counter) -> tuple[float, float, float]:
-        """Scores of abuse, hate and sexual content from the categories hit in a sentence."""
-        about = 0.25 if found["ABOUT"] else 1.0
-        insult, mild, address, threat = (found[c] for c in ("INSULT", "MILD", "ADDRESS", "THREAT"))
-        abuse = 0.0
-        if threat:
-            abuse = 0.8 + 0.1 * bool(insult or mild)
-        if insult:
-            abuse = max(abuse, 0.9 if address or threat else 0.3)
-        if mild and address:
-            abuse = max(abuse, 0.6 if mild > 1 or threat else 0.45)
-        hate = 0.0
-        if found["GROUP"] and found["DEGRADE"]:
-            hate = 0.8 + 0.1 * (found["DEGRADE"] > 1)
-        elif found["CREED"]:
-            hate = 0.7
-        elif found["DEGRADE"]:
-            hate = 0.15
-        sexual = 0.0
-        if found["EXPLICIT"]:
-            sexual = 0.75 + 0.15 * bool(found["EXPLICIT"] > 1 or found["SENSUAL"])
-            if insult or threat:
-                sexual = 0.3  # an oath within an insult
-        elif found["SENSUAL"] > 1 and found["PERSON"]:
-            sexual = 0.7
-        elif found["SENSUAL"]:
-            sexual = 0.15
-        return abuse * about, hate * about, sexual * about
+        self.words = Words(self.weights)
 
     def score(self, text: str) -> tuple[float, float, float]:
-        restored = self.restorer.restore(fold(repair(text)))
-        hits = self.cues.hits(restored)
-        best = (0.0, 0.0, 0.0)
-        if not hits:
-            return best
+        """Scores of abuse, hate and sexual content: the greatest of the text's sentences."""
+        return self.restored_score(self.restorer.restore(fold(repair(text))))
+
+    def restored_score(self, restored: str) -> tuple[float, float, float]:
         ends = [m.end() for m in _SENTENCE.finditer(restored)]
-        sentences: dict[int, dict[tuple[int, int], frozenset[str]]] = {}
-        for span, found in hits.items():
-            sentences.setdefault(bisect_right(ends, span[0]), {})[span] = found
-        for k, spans in sentences.items():
-            whole = restored[ends[k - 1] if k else 0 : ends[k] if k < len(ends) else len(restored)]
-            found = self.sentence(counted(spans) + counted(self.company.hits(whole)))
-            best = tuple(max(a, b) for a, b in zip(best, found, strict=True))
-        return best
+        if not ends or ends[-1] < len(restored):
+            ends.append(len(restored))
+        words: list[str] = []
+        begin, spans, at = [], [], 0  # words of each stretch, and its place in the text
+        for end in ends:
+            sentence = restored[at:end]
+            own = words_of(sentence)
+            places = [] if len(own) <= STRETCH else [m.span() for m in _TOKEN.finditer(sentence)]
+            for first, last in _stretches(len(own)):
+                part = dict.fromkeys(own[first:last])  # a word counts once
+                begin.append((len(words), len(words) + len(part)))
+                words += part
+                if places:  # where words are pairs of characters, places are shared out in proportion
+                    spans.append((at + places[first * len(places) // len(own)][0], at + places[min(last * len(places) // len(own), len(places)) - 1][1]))
+                else:
+                    spans.append((at, end))
+            at = end
+        if not words:
+            return (0.0, 0.0, 0.0)
+        sums = self.words.sums(words)
+        edges = np.array(begin)
+        z = sums[edges[:, 1]] - sums[edges[:, 0]] + self.bias
+        z[edges[:, 1] == edges[:, 0]] = -50.0
+        hits = self.cues.hits(restored)
+        if hits:
+            starts = [a for a, _ in spans]
+            inside: dict[int, dict[tuple[int, int], frozenset[str]]] = {}
+            for span, found in hits.items():
+                k = bisect_right(starts, span[0]) - 1
+                while k >= 0 and spans[k][1] > span[0]:  # stretches overlap
+                    if span[1] <= spans[k][1]:
+                        inside.setdefault(k, {})[span] = found
+                    k -= 1
+            for k, own_hits in inside.items():
+                a, b = spans[k]
+                for f in sense_features(counted(own_hits) + counted(self.company.hits(restored[a:b]))):
+                    z[k] += self.weights[f]
+        best = 1 / (1 + np.exp(-np.clip(z.max(0), -50, 50)))
+        return tuple(best.tolist())
+
+
+def _stretches(n: int) -> list[tuple[int, int]]:
+    """[first, last) of stretches of STRETCH words, each half over the next, that cover n words."""
+    return [(a, min(a + STRETCH, n)) for a in range(0, max(n - STRETCH // 2, 1), STRETCH // 2)]
 
 
 def trigram_counts(documents: DataFrame, text: str = "text") -> DataFrame:
@@ -334,6 +511,27 @@ def trigram_counts(documents: DataFrame, text: str = "text") -> DataFrame:
     return counted.mapInArrow(trigrams, "trigram string, n long").groupBy("trigram").agg(F.sum("n").alias("n"))
 
 
+def plain_sample(documents: DataFrame, text: str = "text") -> tuple[str, ...]:
+    """Sentences of a sample of about SAMPLE_DOCUMENTS documents, drawn by the hash of their text; SAMPLE_SENTENCES at most."""
+    texts = documents.where(F.length(text) > 0).select(F.col(text).cast("string").alias("t"))
+    share = min(1.0, SAMPLE_DOCUMENTS / max(texts.count(), 1))
+    drawn = texts.where(F.pmod(F.xxhash64("t"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))
+    found = {x.strip() for r in drawn.collect() for x in _SENTENCE.split(fold(repair(r["t"])))}
+    return tuple(sorted((x for x in found if 1 < len(words_of(x)) <= STRETCH), key=lambda x: zlib.crc32(x.encode()))[:SAMPLE_SENTENCES])
+
+
+_SCORERS: dict[int, Scorer] = {}
+
+
+def _scorer(told) -> Scorer:
+    """The worker's scorer by a broadcast's trigram counts and weights, made once."""
+    key = hash((len(told.value[0]), sum(told.value[0].values())))
+    if key not in _SCORERS:
+        _SCORERS.clear()
+        _SCORERS[key] = Scorer(*told.value)
+    return _SCORERS[key]
+
+
 def scores(documents: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """The kept columns of every document and its scores: abuse, hate, sexual, and score, the greatest.
 
@@ -341,11 +539,12 @@ def scores(documents: DataFrame, keep: list[str], text: str = "text") -> DataFra
     blank texts score 0. Repeated rows are each scored; an empty table gives an empty one.
     """
     counts = {r["trigram"]: float(r["n"]) for r in trigram_counts(documents, text).collect()}
+    told = documents.sparkSession.sparkContext.broadcast((counts, fitted(plain_sample(documents, text))))
     wanted = documents.select(*keep, F.col(text).cast("string").alias("_text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in wanted.schema[: len(keep)]) + ", abuse double, hate double, sexual double, score double"
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(counts)
+        scorer = _scorer(told)
         for batch in batches:
             rows = [scorer.score(t) if t else (0.0, 0.0, 0.0) for _, texts in text_chunks(batch[len(keep)]) for t in texts]
             found = np.array(rows, float).reshape(-1, 3)

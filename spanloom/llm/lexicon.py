@@ -1,19 +1,18 @@
-"""Fixed values of the abuse scorer: word and phrase lists by language, and look-alike tables.
+"""Fixed values of the abuse scorer: words by sense and language, and look-alike tables.
 
 All entries are written as people write them; they are folded (case, accents) before use. Words
-are parted by blanks; a line with bars lists phrases between them. A trailing * stands for any
-ending. INSULT names or blames a person, MILD does so only when
-someone is addressed, ADDRESS speaks to or of a person, THREAT wishes or promises harm, GROUP
-names people for what they are, DEGRADE denies their worth, CREED degrades by itself, EXPLICIT
-is sexual by itself, SENSUAL only with another one and a person, PERSON stands for the people
-in such scenes, and ABOUT marks text that reports, forbids, teaches or treats.
+are parted by blanks; a line with bars lists short phrases between them. A trailing * stands for
+any ending. INSULT names a person to hurt, MILD may do so, ADDRESS speaks to or of a person, HARM
+are ways to hurt and kill, GROUP names people for what they are, SLUR does so with contempt,
+DEGRADE denies worth, EXPEL drives out, EXPLICIT and SENSUAL are sexual, PERSON stands for the
+people in such scenes, and ABOUT marks text that reports, forbids, teaches or treats. What a
+sense, alone or beside others, weighs is fitted on the labelled sample.
 """
 
 INSULT = """
 idiot idiots moron morons cretin imbecile asshole assholes arsehole bastard bitch prick douchebag dipshit dickhead scum scumbag
-slob wanker twat cunt jackass dumbass shithead motherfucker motherfuckers fucker retard retarded inbred degenerate
-piece of shit|human garbage|waste of space|waste of oxygen|joke of a human being|failed experiment|rotten brain|too dumb to breathe
-brain-dead|brain dead|fucking disgrace|useless prick|disgusting pig|nothing but vermin|son of a bitch|fat pig|lazy slob|human trash
+slob wanker twat whore slut faggot fag dumbfuck cocksucker skank cunt jackass dumbass shithead motherfucker motherfuckers fucker retard retarded inbred degenerate
+piece of shit|human garbage|waste of space|waste of oxygen|brain dead|son of a bitch|fat pig|human trash
 Arschloch Arschlöcher Schlampe Vollidiot Idiot Abschaum Wichser Hurensohn Missgeburt Drecksau Drecksack Vollpfosten Fotze Scheißkerl Mistkerl
 verfickter Lügner|verfickt*|Stück Scheiße|dumme Sau|dreckige Hure|menschlicher Müll
 imbécil imbéciles gilipollas idiota cabrón cabrones maricón capullo subnormal pendejo
@@ -36,25 +35,22 @@ merde minable pitoyable stupide pauvre type raté
 
 ADDRESS = """
 you you're youre your yourself
-the poster above|whoever wrote this|what a surprise|everyone here knows|only your mother
 du dir dich dein deine euch
-ihr alle|der Typ da oben
 eres sois tú te usted vosotros
-todos ustedes|tu madre
 toi t'es
-tu es|vous êtes|ta gueule|espèce de
 ты тебе тебя вы вас вам твой твоя
 お前 おまえ てめえ 貴様 あんた
 """
 
-THREAT = """
-breaks your jaw|break your jaw|deserve a beating|make you regret|we know where you live|i know where you live|find you after work|drag you out|nobody would miss you|no one would miss you
-watch your back|shut the fuck up|crawl back into your hole|do the world a favour and disappear|do the world a favor|kill yourself|hang yourself|go die|i will kill you|we will kill you|get what you deserve
-aufs Maul|halt endlich die Fresse|halt die Fresse|halt's Maul|keiner will dich|niemand wird dich vermissen|ich bring dich um|wir wissen wo du wohnst|verpiss dich|verreck*
-te vamos a partir la cara|partir la cara|cierra la boca|nadie te echará de menos|te voy a matar|sabemos dónde vives|muérete|ojalá te mueras
-te casser les dents|casser la gueule|ferme ta gueule|personne ne te regrettera|on sait où tu habites|je vais te tuer|va crever
-сломают челюсть|заткнись|никому ты не нужен|убью тебя|тебя убьют|мы знаем где ты живёшь|сдохни|чтоб ты сдох|набьют морду
-死ね 殺す 殺してやる 消えろ 黙れ くたばれ
+
+HARM = """
+kill kills murder* stab stabs shoot strangle* slaughter* behead* hang burn burned rape raped rapes raping beat beaten beating punch smash crush* torture* drown* lynch* hurt cut break breaks jaw dead death drag regret disappear coward
+umbringen umbringe bringe töten tot abstechen erschießen verprügeln totschlagen aufhängen vergewaltigen verbrennen verreck* stirb* sterben Maul Fresse verpiss* fick
+partir la cara|romper la cara
+matar violar quemar apuñalar golpear ahorcar degollar muere muérete mueras jodan paliza muerte
+tuer buter violer égorger brûler frapper pendre casser poignarder défoncer crève crever gueule foutre mort
+убью убьём прикончу зарежу задушу застрелю изобью сожгу изнасилую повешу закопаю заткнись сдохни сдох сломают челюсть морду нахуй хуй смерть
+死ね 殺す 殺して 殺し ぶっ殺 消えろ 黙れ くたばれ
 """
 
 GROUP = """
@@ -68,30 +64,35 @@ extranjeros refugiados mujeres discapacitados inmigrantes gitanos judíos negros
 """
 
 DEGRADE = """
-parasites vermin rats cockroaches subhuman subhumans plague cancer infestation inferior filth scum animals pests lice maggots
-breed like|dirty by birth|only understand the whip|lock them up|cleanse|round up|driven out|do not deserve to live|burn them|thieves and liars|by nature|traitor to our race|no mixing
-and no dogs|not human|are human|to serve us|cannot think|nobody will ask where they went|let them drown|send them back|should be shot|gas them|out of our country|exterminate*
-Ungeziefer Parasiten Ratten minderwertig minderwertige Untermenschen Abschaum Dreck Pest Seuche
-gehören vertrieben|nichts verloren|weg mit ihnen|keine Menschen|gehören vergast|raus mit ihnen|dumm geboren
-ratas parásitos escoria plaga basura cucarachas alimañas
-no merecen vivir|hay que echarlos|seres inferiores|no son humanos|son inferiores|y ladrones|hay que exterminar*
-rats vermine parasites cafards racaille nuisibles
-pas des humains|à chasser|sous-hommes|êtres inférieurs|tous des voleurs|il faut les chasser|il faut les éliminer
-паразиты паразиты крыс крысы нелюди отбросы тараканы недочеловеки скот зараза
-не место среди людей|гнать их|хуже крыс|не люди|низшая раса|надо истреб*
-害虫 寄生虫 ゴキブリ 劣等 追い出せ 出て行け 人間ではない
+parasites parasite vermin rats cockroaches subhuman subhumans savages plague cancer disease infestation inferior filth filthy scum animals monkeys pests lice maggots dirty thieves stink
+Ungeziefer Parasiten Ratten minderwertig minderwertige Untermenschen Abschaum Dreck Pest Plage Seuche Tiere
+ratas parásitos escoria plaga basura cucarachas alimañas inferiores ladrones animales
+rats vermine parasites cafards racaille nuisibles sous-hommes inférieurs voleurs animaux
+паразиты крыс крысы нелюди отбросы тараканы недочеловеки скот зараза низшая животные
+害虫 寄生虫 ゴキブリ 劣等 劣った 下等 ネズミ
+"""
+
+
+SLUR = """
+kike kikes nigger niggers nigga faggots spic spics chink chinks gook gooks raghead ragheads towelhead towelheads wetback wetbacks trannies tranny dyke dykes kaffir kaffirs pakis
+Kanake Kanaken Neger Schwuchtel Schwuchteln Judensau
+sudaca sudacas maricones negrata negratas moraco
+bougnoule bougnoules youpin youpins négro nègres pédés tapette tapettes
+жиды жид хачи хач чурки чурка чёрножопые пидоры пидоры
+チョン シナ人 土人
 """
 
-CREED = """
-keep our blood pure|traitor to our race|no mixing with|inferior race|master race|white power|gas the|race traitor|stop pretending
-unser Blut rein|Rassenschande|Herrenrasse
-raza inferior|sangre pura
-race inférieure|sang pur
-низшая раса|чистота крови
+EXPEL = """
+deport* exterminat* cleanse* expel* gas gassed sterilized wiped lynched banned driven whip
+vertrieben vergast raus ausrotten säubern
+echarlos echar exterminar expulsar fuera
+chasser éliminer expulser dehors
+гнать истребить истреб* вон
+追い出せ 出て行け 皆殺し
 """
 
 EXPLICIT = """
-fuck fucks fucked fucking porn porno pornos pussy blowjob blowjobs gangbang milf milfs cum cumshot masturbat* orgasm orgasms horny slut sluts slutty whore whores dildo xxx creampie handjob deepthroat threesome
+fuck fucks fucked fucking porn porno pornos pussy blowjob blowjobs gangbang milf milfs cum cumshot masturbat* ejaculat* erect penis vagina clit orgasm orgasms horny slut sluts slutty whore whores dildo xxx creampie handjob deepthroat threesome
 dick pics|dick pic|hard cock|bare tits|big tits|wet pussy|bang her|anal pleasure|anal sex|sex tonight|erotic scenes|nude pics|fuck me|suck my|came all over|deep inside her|rode him|hardcore porn
 Porno Pornos Fotze Fotzen ficken fickt gefickt Titten Muschi Wichse Schwänze Nutten Sexfilme
 geile Schlampen|geile Fotzen
@@ -129,7 +130,6 @@ elle il femmes filles femme lui
 
 ABOUT = """
 forbid forbids forbidden prohibited rules moderators court sentenced convicted clinic doctor leaflet education screening historian propaganda study process processes report reported survey guidelines law
-removed the post|help for people|rated for adults|block the sender|hate speech
 verboten Gericht verurteilte verurteilt Beratung Arzt Klinik Untersuchung Vorsorge Historiker Regeln
 prohibidos prohibido prohibida juez condenó clínica médico revisión tribunal historiador normas
 interdit interdites interdits tribunal condamné clinique médecin dépistage historien règles
