@@ -18,7 +18,7 @@ from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import combinations
+from itertools import chain, combinations
 
 import ahocorasick
 import numpy as np
@@ -57,8 +57,10 @@ _NOISY = re.compile(
 )
 _DISTURBED = re.compile(rf"[0-9{_SIGN}][^\W_]|[^\W_][0-9{_SIGN}]|([^\W_])\1\1|[a-z][{_LETTER[3:]}]|[{_LETTER[3:]}][a-z]")
 _NAME_AND_NUMBER = re.compile(rf"[{_LETTER}]{{3,}}[0-9]{{1,2}}|[0-9]+[{_LETTER}]{{1,2}}|@[{_LETTER}]+|[{_LETTER}]+[!|]+")
-_TOKEN = re.compile(r"[぀-ヿ一-鿿]+|[^\W_]+")
-_SENTENCE = re.compile(r"[.!?;…。！？\n]+(?=\s|$|[^\x00-\x7f])|\n")
+_END = r"[.!?;…。！？\n]+(?=\s|$|[^\x00-\x7f])|\n"
+_SENTENCE = re.compile(_END)
+_ENDS = frozenset(".!?;…。！？\n")
+_PARTS = re.compile(rf"[぀-ヿ一-鿿]{{1,{STRETCH}}}|[^\W_぀-ヿ一-鿿]+|{_END}")  # words and ends of sentences
 _UTF8_AS = re.compile("[ÃÐÑÂã][\u0080-¿€-™]|[РС][°-џЂ-Џ]")
 
 _LATIN_OF_1251 = {}
@@ -146,14 +148,8 @@ def counted(hits: dict[tuple[int, int], frozenset[str]]) -> Counter:
 
 
 def words_of(text: str) -> list[str]:
-    """Words of a folded text; of scripts without blanks every two neighbouring characters."""
-    out = []
-    for w in _TOKEN.findall(text):
-        if w[0] >= "\u3040":
-            out += [w[i : i + 2] for i in range(max(1, len(w) - 1))]
-        else:
-            out.append(w)
-    return out
+    """Words of a folded text; of scripts without blanks, runs of up to STRETCH characters."""
+    return [w for w in _PARTS.findall(text) if w[0] not in _ENDS]
 
 
 def _bucket(feature: str) -> int:
@@ -161,7 +157,16 @@ def _bucket(feature: str) -> int:
 
 
 def word_features(word: str) -> dict[int, float]:
-    """A word and, weighing as much in all, its pieces of four letters."""
+    """A word and, weighing half as much in all, its pieces of four letters; of a run without blanks every two neighbouring characters."""
+    out: dict[int, float] = {}
+    if word[0] >= "\u3040":
+        for pair in {word[i : i + 2] for i in range(max(1, len(word) - 1))}:
+            out |= word_features_of_one(pair)
+        return out
+    return word_features_of_one(word)
+
+
+def word_features_of_one(word: str) -> dict[int, float]:
     out: dict[int, float] = {_bucket("word " + word): 1.0}
     padded = f"<{word}>"
     pieces = [padded[i : i + 4] for i in range(len(padded) - 3)]
@@ -178,11 +183,11 @@ def sense_features(count: Counter) -> list[int]:
     return [_bucket(n) for n in names]
 
 
-def _fit(row: np.ndarray, column: np.ndarray, value: np.ndarray, y: np.ndarray, weight: np.ndarray, w: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _fit(row: np.ndarray, column: np.ndarray, value: np.ndarray, y: np.ndarray, weight: np.ndarray, w: np.ndarray, bias: np.ndarray, steps: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Weights and biases of a logistic model of each kind, from a sparse matrix with weighted rows, and the rows' log-odds; from w and bias on."""
     kinds, columns = y.shape[1], len(w)
     first, second, first_b, second_b = np.zeros_like(w), np.zeros_like(w), np.zeros(kinds), np.zeros(kinds)
-    for step in range(1, STEPS + 1):
+    for step in range(1, steps + 1):
         z = np.stack([np.bincount(row, value * w[column, k], len(y)) for k in range(kinds)], 1) + bias
         error = weight * (1 / (1 + np.exp(-z)) - y) / weight.sum()
         slope = np.stack([np.bincount(column, value * error[row, k], columns) for k in range(kinds)], 1) + PENALTY * w
@@ -225,11 +230,11 @@ def fitted(plain: tuple[str, ...] = (), leave_out: int | None = None) -> tuple[n
     weight = np.full((len(y), 1), PLAIN_WEIGHT)
     weight[: len(told)] = 1.0
     matrix = row[kept], np.searchsorted(used, column[kept]), value[kept]
-    w, bias, z = _fit(*matrix, y, weight, np.zeros((len(used), y.shape[1])), np.full(y.shape[1], -3.0))
+    w, bias, z = _fit(*matrix, y, weight, np.zeros((len(used), y.shape[1])), np.full(y.shape[1], -3.0), STEPS)
     doubted = (np.arange(len(y)) >= len(told)) & (z.max(1) > math.log(DOUBT / (1 - DOUBT)))
     if doubted.any():
         weight[doubted] = 0.0
-        w, bias, _ = _fit(*matrix, y, weight, w, bias)
+        w, bias, _ = _fit(*matrix, y, weight, w, bias, STEPS // 3)
     weights = np.zeros((BUCKETS, y.shape[1]), np.float32)
     weights[used] = w
     return weights, bias
@@ -395,16 +400,17 @@ class Restorer(dict):
 
 
 class Words(dict):
-    """Number of each word met; rows of weights by that number."""
+    """Number of each word met, 0 for ends of sentences; rows of weights by that number."""
 
     def __init__(self, weights: np.ndarray):
         super().__init__()
         self.weights, self.rows = weights, np.zeros((1024, weights.shape[1]))
 
     def __missing__(self, word: str) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        n = len(self)
+        if word[0] in _ENDS:
+            self[word] = 0
+            return 0
+        n = len(self) + 1
         if n >= len(self.rows):
             self.rows = np.concatenate((self.rows, np.zeros_like(self.rows)))
         features = word_features(word)
@@ -412,16 +418,10 @@ class Words(dict):
         self[word] = n
         return n
 
-    def sums(self, words: list[str]) -> np.ndarray:
-        """Running sums of the words' weights, from zero."""
-        out = np.zeros((len(words) + 1, self.weights.shape[1]))
-        for at in range(0, len(words), REMEMBERED // 2):
-            part = words[at : at + REMEMBERED // 2]
-            if len(self) + len(part) > REMEMBERED:
-                self.clear()
-            numbers = list(map(self.__getitem__, part))
-            out[at + 1 : at + 1 + len(part)] = self.rows[numbers]
-        return out.cumsum(0)
+    def numbers(self, words: list[str]) -> np.ndarray:
+        if len(self) > REMEMBERED:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
 
 class Scorer:
@@ -434,50 +434,60 @@ class Scorer:
         self.words = Words(self.weights)
 
     def score(self, text: str) -> tuple[float, float, float]:
-        """Scores of abuse, hate and sexual content: the greatest of the text's sentences."""
-        return self.restored_score(self.restorer.restore(fold(repair(text))))
-
-    def restored_score(self, restored: str) -> tuple[float, float, float]:
-        ends = [m.end() for m in _SENTENCE.finditer(restored)]
-        if not ends or ends[-1] < len(restored):
-            ends.append(len(restored))
-        words: list[str] = []
-        begin, spans, at = [], [], 0  # words of each stretch, and its place in the text
-        for end in ends:
-            sentence = restored[at:end]
-            own = words_of(sentence)
-            places = [] if len(own) <= STRETCH else [m.span() for m in _TOKEN.finditer(sentence)]
-            for first, last in _stretches(len(own)):
-                part = dict.fromkeys(own[first:last])  # a word counts once
-                begin.append((len(words), len(words) + len(part)))
-                words += part
-                if places:  # where words are pairs of characters, places are shared out in proportion
-                    spans.append((at + places[first * len(places) // len(own)][0], at + places[min(last * len(places) // len(own), len(places)) - 1][1]))
-                else:
-                    spans.append((at, end))
-            at = end
-        if not words:
-            return (0.0, 0.0, 0.0)
-        sums = self.words.sums(words)
-        edges = np.array(begin)
-        z = sums[edges[:, 1]] - sums[edges[:, 0]] + self.bias
-        z[edges[:, 1] == edges[:, 0]] = -50.0
-        hits = self.cues.hits(restored)
-        if hits:
-            starts = [a for a, _ in spans]
-            inside: dict[int, dict[tuple[int, int], frozenset[str]]] = {}
+        return tuple(self.scores([text])[0].tolist())
+
+    def scores(self, texts: list[str]) -> np.ndarray:
+        """Scores of abuse, hate and sexual content of each text: the greatest of its sentences."""
+        return self.restored_scores([self.restorer.restore(fold(repair(t))) for t in texts])
+
+    def restored_scores(self, texts: list[str]) -> np.ndarray:
+        parts = [[*_PARTS.findall(t), "\n"] for t in texts]  # every text ends its last sentence
+        number = self.words.numbers(list(chain.from_iterable(parts)))
+        end = number == 0
+        sentence = np.cumsum(end) - end
+        sizes = np.cumsum([len(p) for p in parts])
+        first = np.concatenate(([0], sentence[sizes[:-1]])) if len(sizes) > 1 else np.zeros(1, np.int64)  # each text's first sentence
+        count = np.bincount(sentence[~end], minlength=int(sentence[-1]) + 1)
+        # a word counts once in a sentence
+        key = sentence * (int(number.max()) + 1) + number
+        key.sort()
+        at, word = np.divmod(key[np.concatenate(([True], key[1:] != key[:-1]))], int(number.max()) + 1)
+        z = np.stack([np.bincount(at, self.words.rows[word, k], len(count)) for k in range(len(self.bias))], 1) + self.bias
+        z[count == 0] = -50.0
+        stretches = {k: self._stretched(number[np.searchsorted(sentence, k) :][: count[k]]) for k in np.flatnonzero(count > STRETCH).tolist()}
+        for text, base in zip(texts, first.tolist(), strict=True):
+            hits = self.cues.hits(text)
+            if not hits:
+                continue
+            ends = [0, *[m.end() for m in _SENTENCE.finditer(text)], len(text)]
+            inside: dict[tuple[int, int, int, int], dict[tuple[int, int], frozenset[str]]] = {}
             for span, found in hits.items():
-                k = bisect_right(starts, span[0]) - 1
-                while k >= 0 and spans[k][1] > span[0]:  # stretches overlap
-                    if span[1] <= spans[k][1]:
-                        inside.setdefault(k, {})[span] = found
-                    k -= 1
-            for k, own_hits in inside.items():
-                a, b = spans[k]
-                for f in sense_features(counted(own_hits) + counted(self.company.hits(restored[a:b]))):
-                    z[k] += self.weights[f]
-        best = 1 / (1 + np.exp(-np.clip(z.max(0), -50, 50)))
-        return tuple(best.tolist())
+                k = bisect_right(ends, span[0]) - 1
+                for part in self._parts_of(text, k, ends, span, base + k in stretches):
+                    inside.setdefault(part, {})[span] = found
+            for (k, n, a, b), own in inside.items():
+                extra = self.weights[sense_features(counted(own) + counted(self.company.hits(text[a:b])))].sum(0)
+                if base + k in stretches:
+                    stretches[base + k][n] += extra
+                else:
+                    z[base + k] += extra
+        for k, rows in stretches.items():
+            z[k] = rows.max(0)
+        best = np.maximum.reduceat(z, first)
+        return np.where(best <= -50, 0.0, 1 / (1 + np.exp(-np.clip(best, -50, 50))))
+
+    def _stretched(self, number: np.ndarray) -> np.ndarray:
+        """Log-odds of the stretches of a long sentence."""
+        return np.array([self.words.rows[np.unique(number[a:b])].sum(0) for a, b in _stretches(len(number))]) + self.bias
+
+    def _parts_of(self, restored: str, k: int, ends: list[int], span: tuple[int, int], long: bool) -> list[tuple[int, int, int, int]]:
+        """(sentence, stretch, begin, end) of the stretches that hold a span."""
+        a, b = ends[k], ends[k + 1]
+        if not long:
+            return [(k, 0, a, b)]
+        places = [(a + m.start(), a + m.end()) for m in _PARTS.finditer(restored[a:b]) if m.group()[0] not in _ENDS]
+        parts = [(k, n, places[x][0], places[y - 1][1]) for n, (x, y) in enumerate(_stretches(len(places)))]
+        return [p for p in parts if p[2] <= span[0] and span[1] <= p[3]] or [p for p in parts if p[2] <= span[0] < p[3]]
 
 
 def _stretches(n: int) -> list[tuple[int, int]]:
@@ -525,7 +535,7 @@ _SCORERS: dict[int, Scorer] = {}
 
 def _scorer(told) -> Scorer:
     """The worker's scorer by a broadcast's trigram counts and weights, made once."""
-    key = hash((len(told.value[0]), sum(told.value[0].values())))
+    key = hash((len(told.value[0]), sum(told.value[0].values()), float(told.value[1][0].sum())))
     if key not in _SCORERS:
         _SCORERS.clear()
         _SCORERS[key] = Scorer(*told.value)
@@ -546,8 +556,8 @@ def scores(documents: DataFrame, keep: list[str], text: str = "text") -> DataFra
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _scorer(told)
         for batch in batches:
-            rows = [scorer.score(t) if t else (0.0, 0.0, 0.0) for _, texts in text_chunks(batch[len(keep)]) for t in texts]
-            found = np.array(rows, float).reshape(-1, 3)
+            rows = [scorer.scores([t or "" for t in texts]) for _, texts in text_chunks(batch[len(keep)])]
+            found = np.concatenate(rows) if rows else np.zeros((0, 3))
             columns = [*found.T, found.max(1) if len(found) else found[:, 0]]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *[pa.array(c) for c in columns]], names=[*keep, "abuse", "hate", "sexual", "score"])
 
