@@ -125,8 +125,9 @@ def background_rows(df: DataFrame, totals: DataFrame, window: float, stride: flo
     spans = first.select(*GROUP, "_t").join(sessions, F.col("_t.session_key") == F.col("_s"), "left").join(files, F.col("_t.edf_path") == F.col("_f"), "left")
     spans = spans.select(*GROUP, "_t", F.coalesce("_session_total", "_file_total").alias("_total"))
     gaps = intervals.complement(events, spans, GROUP, "_total").where(F.col("stop_time") - F.col("start_time") >= min_gap)
-    windows = intervals.explode_windows(gaps, window, stride)
-    made = windows.join(spans.select(*[F.col(c).alias(f"_{c}") for c in GROUP], "_t"), (F.col("_group") == F.col("__group")) & (F.col("channel").eqNullSafe(F.col("_channel"))))
+    own = spans.select(*[F.col(c).alias(f"_{c}") for c in GROUP], "_t")
+    told = gaps.join(own, (F.col("_group") == F.col("__group")) & (F.col("channel").eqNullSafe(F.col("_channel"))))
+    made = intervals.explode_windows(told, window, stride)
     changed = {"label": F.lit(label), "start_time": F.col("start_time"), "stop_time": F.col("stop_time"), "status": F.lit(1), "confidence": F.lit(1.0)}
     return made.select(*[changed.get(c, F.col(f"_t.{c}")).alias(c) for c in COLUMNS], seq(3, F.round(F.col("start_time") * 1000), F.col("_t._seq.n")).alias("_seq"))
 

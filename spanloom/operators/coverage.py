@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spanloom.session import materialize
+from spanloom.session import materialize, materialize_counted
 
 #: Entities with more distinct starts than this are cut into blocks.
 BLOCK_ROWS = 500_000
@@ -73,9 +73,10 @@ def periods_and_gaps(intervals: DataFrame, keys: list[str], start: str, stop: st
     for key in keys:
         usable &= F.col(key).isNotNull()
     rows = intervals.where(usable).select(*keys, F.col(start).alias("_start"), F.col(stop).alias("_stop"))
-    starts = materialize(rows.groupBy(*keys, "_start").agg(F.max("_stop").alias("_stop")), "starts")
+    starts, n = materialize_counted(rows.groupBy(*keys, "_start").agg(F.max("_stop").alias("_stop")), "starts")
     hot = starts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > block_rows)
-    placed = _opened(starts, keys) if hot.isEmpty() else _opened_by_blocks(starts, keys, hot)
+    # no key can have more starts than there are
+    placed = _opened(starts, keys) if n <= block_rows or hot.isEmpty() else _opened_by_blocks(starts, keys, hot)
     periods = placed.groupBy(*keys, F.col("_period").alias("from")).agg(F.max("_stop").alias("to"))
     gaps = placed.where(F.col("_open").isNotNull() & F.col("_reach").isNotNull())
     columns = [*keys, "kind", "from", "to"]

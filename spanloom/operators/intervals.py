@@ -50,30 +50,45 @@ def complement(covers: DataFrame, spans: DataFrame, keys: list[str], total: str,
     return gaps.select(*keys, F.col("from").alias(start), F.col("to").alias(stop))
 
 
+#: Seconds of the blocks by which intervals that may overlap are brought together.
+BLOCK_SECONDS = 60.0
+
+
+def overlapping(rows: DataFrame, others: DataFrame, keys: list[str], start: str = "start_time", stop: str = "stop_time", other_start: str = "_a", other_stop: str = "_b", block: float = BLOCK_SECONDS) -> DataFrame:
+    """Pairs of rows and others of one key that share time; null keys meet null keys.
+
+    Both sides are spread over the blocks of time they touch and joined by key and block, so a
+    hot key is parted by time; a pair counts in the block in which its shared time begins.
+    others has the keys under their names with _ before.
+    """
+    touched = lambda a, b: F.sequence(F.floor(F.col(a) / block), F.greatest(F.floor(F.col(a) / block), F.ceil(F.col(b) / block) - 1))
+    left = rows.where(F.col(stop) > F.col(start)).withColumn("_block", F.explode(touched(start, stop)))
+    right = others.where(F.col(other_stop) > F.col(other_start)).withColumn("_other_block", F.explode(touched(other_start, other_stop)))
+    meets = (F.col("_block") == F.col("_other_block")) & (F.col(other_start) < F.col(stop)) & (F.col(other_stop) > F.col(start))
+    for key in keys:
+        meets &= F.col(key).eqNullSafe(F.col(f"_{key}"))
+    first = F.floor(F.greatest(start, other_start) / block) == F.col("_block")
+    return left.join(right, meets & first).drop("_block", "_other_block")
+
+
 def subtract(rows: DataFrame, islands: DataFrame, keys: list[str], row_id: str, start: str = "start_time", stop: str = "stop_time") -> DataFrame:
     """Rows cut by the islands of their group; one row for each piece of positive length.
 
     islands must be disjoint within a group and have the columns keys, start and stop; row_id
-    names a column that is different for each row of a group. The islands that meet a row are
-    joined by group and overlap, so a row that none meets stays.
+    names a column that is different for each row of a group. Only keys and times of rows are
+    brought together with islands, block by block; a row that none meets stays whole.
     """
     rows = rows.withColumn("_row", F.struct(*keys, row_id))
     cuts = islands.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col(start).alias("_a"), F.col(stop).alias("_b"))
-    meets = (F.col("_a") < F.col(stop)) & (F.col("_b") > F.col(start))
-    for key in keys:
-        meets &= F.col(key).eqNullSafe(F.col(f"_{key}"))
-    # most rows meet no island and need no grouping
-    unmet = rows.join(cuts, meets, "left_anti").where(F.col(stop) > F.col(start)).drop("_row")
-    met = rows.join(cuts, meets).groupBy("_row").agg(
-        *[F.first(c, ignorenulls=False).alias(c) for c in rows.columns if c != "_row"],
-        F.array_sort(F.collect_list(F.struct("_a", "_b"))).alias("_cuts"),
-    )
+    met = overlapping(rows.select("_row", *keys, start, stop), cuts, keys, start, stop)
+    met = met.groupBy(F.col("_row").alias("_met")).agg(F.array_sort(F.collect_list(F.struct("_a", "_b"))).alias("_cuts"))
     # pieces lie between the ends of cuts, from the row's start to its stop
-    begins = F.concat(F.array(F.col(start)), F.transform("_cuts", lambda c: c["_b"]))
-    finishes = F.concat(F.transform("_cuts", lambda c: c["_a"]), F.array(F.col(stop)))
+    cut = F.coalesce("_cuts", F.array().cast("array<struct<_a:double,_b:double>>"))
+    begins = F.concat(F.array(F.col(start).cast("double")), F.transform(cut, lambda c: c["_b"]))
+    finishes = F.concat(F.transform(cut, lambda c: c["_a"]), F.array(F.col(stop).cast("double")))
     pieces = F.filter(F.arrays_zip(begins.alias("a"), finishes.alias("b")), lambda p: p["b"] > p["a"])
-    out = met.withColumn("_piece", F.explode(pieces)).withColumns({start: F.col("_piece.a"), stop: F.col("_piece.b")})
-    return unmet.unionByName(out.drop("_row", "_cuts", "_piece"))
+    out = rows.join(met, F.col("_row").eqNullSafe(F.col("_met")), "left").withColumn("_piece", F.explode(pieces))
+    return out.withColumns({start: F.col("_piece.a"), stop: F.col("_piece.b")}).drop("_row", "_met", "_cuts", "_piece")
 
 
 def place_in_files(rows: DataFrame, layouts: DataFrame, key: str = "session_key", path: str = "edf_path") -> DataFrame:
@@ -86,23 +101,23 @@ def place_in_files(rows: DataFrame, layouts: DataFrame, key: str = "session_key"
     order = Window.partitionBy(key).orderBy("offset_s", path)
     first = F.row_number().over(order) == 1
     files = layouts.where(F.col(key).isNotNull()).select(
-        F.col(key).alias("_key"), F.col(path).alias("_path"), F.col("offset_s").alias("_offset"),
-        F.when(first, F.lit(float("-inf"))).otherwise(F.col("offset_s")).alias("_from"),
-        F.coalesce(F.lead("offset_s").over(order), F.lit(float("inf"))).alias("_to"),
+        F.col(key).alias("_key"), F.struct(
+            F.when(first, F.lit(float("-inf"))).otherwise(F.col("offset_s")).alias("from"), F.coalesce(F.lead("offset_s").over(order), F.lit(float("inf"))).alias("to"),
+            F.col(path).alias("path"), F.col("offset_s").alias("offset"),
+        ).alias("_file"),
     )
-    at = (F.col(key) == F.col("_key")) & (F.col("start_time") >= F.col("_from")) & (F.col("start_time") < F.col("_to"))
-    shift = F.coalesce("_offset", F.lit(0.0))
-    out = rows.join(files, at, "left").withColumns({"start_time": F.col("start_time") - shift, "stop_time": F.col("stop_time") - shift, path: F.coalesce("_path", path)})
-    return out.drop("_key", "_path", "_offset", "_from", "_to")
+    # a session's few files in order as one array: rows meet their session by key alone and find the file inside
+    files = files.groupBy("_key").agg(F.array_sort(F.collect_list("_file")).alias("_files"))
+    at = F.filter("_files", lambda f: (F.col("start_time") >= f["from"]) & (F.col("start_time") < f["to"]))
+    found = rows.join(files, F.col(key) == F.col("_key"), "left").withColumn("_file", F.try_element_at(at, F.lit(1)))
+    shift = F.coalesce("_file.offset", F.lit(0.0))
+    return found.withColumns({"start_time": F.col("start_time") - shift, "stop_time": F.col("stop_time") - shift, path: F.coalesce("_file.path", path)}).drop("_key", "_files", "_file")
 
 
 def overlap_seconds(left: DataFrame, right: DataFrame, keys: list[str], row_id: str) -> DataFrame:
     """Rows of left, told apart by row_id, with the time they share with the disjoint intervals of right (column overlap)."""
     left = left.withColumn("_row", F.struct(*keys, row_id))
     other = right.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("start_time").alias("_a"), F.col("stop_time").alias("_b"))
-    meets = (F.col("_a") < F.col("stop_time")) & (F.col("_b") > F.col("start_time"))
-    for key in keys:
-        meets &= F.col(key).eqNullSafe(F.col(f"_{key}"))
     shared = F.sum(F.least("_b", "stop_time") - F.greatest("_a", "start_time"))
-    met = left.join(other, meets, "left").groupBy("_row").agg(*[F.first(c, ignorenulls=False).alias(c) for c in left.columns if c != "_row"], F.coalesce(shared, F.lit(0.0)).alias("overlap"))
-    return met.drop("_row")
+    met = overlapping(left.select("_row", *keys, "start_time", "stop_time"), other, keys).groupBy(F.col("_row").alias("_met")).agg(shared.alias("overlap"))
+    return left.join(met, F.col("_row").eqNullSafe(F.col("_met")), "left").withColumn("overlap", F.coalesce("overlap", F.lit(0.0))).drop("_row", "_met")

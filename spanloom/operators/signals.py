@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 
 from spanloom import schema
 from spanloom.functions import samples
+from spanloom.operators.intervals import overlapping
+
+#: Seconds of the blocks in which segments and signals meet.
+MEETING_SECONDS = 60.0
 
 
 def segment_fixed(df: DataFrame, column: str, size: int, step: int | None = None) -> DataFrame:
@@ -141,8 +145,8 @@ def extract(master: DataFrame, offsets: DataFrame, signals: DataFrame, rate: flo
     one = rows.groupBy("edf_path", "start_time", "stop_time", "label", "is_valid").agg(F.array_sort(F.collect_set("channel")).alias("channels"))
     at = lambda t: samples.time_to_sample(F.col(t), F.col("start_sample"), F.col("end_sample"), rate)
     placed = one.join(offsets, "edf_path").withColumns({"_a": at("start_time"), "_b": at("stop_time")}).where("_b > _a").drop("start_sample", "end_sample")
-    blocks = signals.withColumnsRenamed({"session_key": "_s", "start_sample": "_first"}).withColumn("_last", F.col("_first") + F.size("samples"))
-    met = placed.join(blocks, (F.col("session_key") == F.col("_s")) & (F.col("_first") < F.col("_b")) & (F.col("_last") > F.col("_a")))
+    blocks = signals.withColumnsRenamed({"session_key": "_session_key", "start_sample": "_first"}).withColumn("_last", F.col("_first") + F.size("samples"))
+    met = overlapping(placed, blocks, ["session_key"], "_a", "_b", "_first", "_last", MEETING_SECONDS * rate)
     begin = F.greatest(F.col("_a") - F.col("_first"), F.lit(0))
     size = F.least(F.col("_b"), F.col("_last")) - F.greatest("_a", "_first")
     cut = met.withColumn("_part", F.struct("_first", F.slice("samples", (begin + 1).cast("int"), size.cast("int")).alias("x")))

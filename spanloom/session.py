@@ -6,7 +6,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: str = "*", app: str = "spanloom") -> SparkSession:
@@ -62,7 +63,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage so that costly work runs once, survives the loss of executors, and
     gives later joins the true size of the data. release deletes the tables of an application.
     """
-    spark = df.sparkSession
+    return materialize_counted(df, name)[0]
+
+
+def materialize_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """The same, and the number of rows, counted while they are written."""
+    spark, counted = df.sparkSession, Observation()
     where = os.path.join(scratch(spark), f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(where)
-    return spark.read.schema(df.schema).parquet(where)
+    df.observe(counted, F.count(F.lit(1)).alias("n")).write.parquet(where)
+    return spark.read.schema(df.schema).parquet(where), int(counted.get.get("n") or 0)
