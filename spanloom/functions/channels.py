@@ -9,11 +9,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from spanloom import schema
+
+#: What a name may begin and end with, from the fixed prefixes and suffixes.
+KIND = rf"^({'|'.join(schema.PREFIXES)})\s+"
+REFERENCE = rf"-({'|'.join(schema.SUFFIXES)})\d*$"
+
 
 def normalized(name: Column) -> Column:
     """Upper case without kind prefix, reference suffix and blanks; C3-CZ loses its -CZ."""
     upper = F.upper(F.regexp_replace(name, r"^\s+|\s+$", ""))
-    bare = F.regexp_replace(F.regexp_replace(upper, r"^(EEG|EKG|ECG)\s+", ""), r"-(REF|LE|AR|AVG|CZ)\d*$", "")
+    bare = F.regexp_replace(F.regexp_replace(upper, KIND, ""), REFERENCE, "")
     return F.regexp_replace(bare, r"\s+", "")
 
 

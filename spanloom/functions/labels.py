@@ -76,6 +76,11 @@ def is_preictal(label: Column) -> Column:
     return F.coalesce(label.startswith("p") & ~label.endswith(schema.BUFFER_SUFFIX), F.lit(False))
 
 
+def is_reliable(label: Column, unreliable: tuple[str, ...] = schema.UNRELIABLE) -> Column:
+    """Whether a row counts as reliable cover; null labels do not."""
+    return F.coalesce(~label.isin(*unreliable), F.lit(False))
+
+
 def is_active(is_valid: Column, label: Column) -> Column:
     """Rows that take and lose time: valid ones and buffers."""
     return F.coalesce(is_valid, F.lit(False)) | is_buffer(label)

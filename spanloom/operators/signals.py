@@ -6,6 +6,10 @@ always addressed by name.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -63,13 +67,17 @@ def montage(df: DataFrame, keys: list[str], column: str = "samples", pairs: Data
     pairs: pair, ch_a, ch_b, a short list; unset, the 20 fixed ones. A pair of which a channel
     is missing has no row. Channels given twice for one key count by their greatest array.
     """
+    return sides_of(df, keys, column, pairs).select(*keys, "pair", "name", F.zip_with("_a", "_b", lambda a, b: a - b).alias(column))
+
+
+def sides_of(df: DataFrame, keys: list[str], column: str, pairs: DataFrame | None = None) -> DataFrame:
+    """(keys, pair, name, _a, _b): the arrays of the two channels of each pair that has both."""
     if pairs is None:
         pairs = df.sparkSession.createDataFrame([(i, a, b) for i, (a, b) in enumerate(schema.PAIRS)], "pair int, ch_a string, ch_b string")
     sides = pairs.select("pair", F.concat_ws("-", "ch_a", "ch_b").alias("name"), F.explode(F.array(F.struct(F.col("ch_a").alias("channel"), F.lit("a").alias("side")), F.struct(F.col("ch_b").alias("channel"), F.lit("b").alias("side")))).alias("_s")).select("pair", "name", "_s.*")
     used = df.join(F.broadcast(sides), "channel")  # at most two rows a pair, a fixed list
     both = used.groupBy(*keys, "pair", "name").agg(F.max(F.when(F.col("side") == "a", F.col(column))).alias("_a"), F.max(F.when(F.col("side") == "b", F.col(column))).alias("_b"))
-    both = both.where("_a is not null and _b is not null")
-    return both.select(*keys, "pair", "name", F.zip_with("_a", "_b", lambda a, b: a - b).alias(column))
+    return both.where("_a is not null and _b is not null")
 
 
 def mask_of(probabilities: Column, n: Column, rate: float, classes: tuple[int, ...] = schema.ARTIFACT_CLASSES) -> Column:
@@ -129,6 +137,34 @@ def event_overlap(events: DataFrame, masks: DataFrame, keys: list[str], rate: fl
     return met.withColumns({"overlap_percent": F.round(share * 100, 1), "is_background": F.lower("label") == "bckg"}).drop(mask)
 
 
+def overlap_counters(overlaps: DataFrame, keys: list[str]) -> DataFrame:
+    """Events of event_overlap, and background ones, by key, and how many of them meet a masked sample."""
+    hit, back = F.col("overlap_percent") > 0, F.coalesce("is_background", F.lit(False))
+    return overlaps.groupBy(*keys).agg(F.count(F.lit(1)).alias("events"), F.count_if(hit).alias("overlapping"), F.count_if(back).alias("background"), F.count_if(back & hit).alias("background_overlapping"))
+
+
+def pair_masks(masks: DataFrame, keys: list[str], mask: str = "mask", pairs: DataFrame | None = None) -> DataFrame:
+    """(keys, pair, name, mask): samples masked in either channel of each pair, as montage; a null counts as clean."""
+    flags = masks.withColumn(mask, F.transform(mask, lambda m: F.when(F.coalesce(m, F.lit(False)), -1.0).otherwise(0.0)))
+    return sides_of(flags, keys, mask, pairs).select(*keys, "pair", "name", F.zip_with("_a", "_b", lambda a, b: (a < 0) | (b < 0)).alias(mask))
+
+
+def postprocess(signals: DataFrame, keys: list[str], f: Callable[[np.ndarray, list[str]], np.ndarray], column: str = "samples") -> DataFrame:
+    """(keys, channel, samples): f on each key's matrix of channels by samples, channels in order of name.
+
+    f is given the matrix and the channels' names and returns a matrix of as many rows. The
+    channels of a key must be equally long, which is that key's bound.
+    """
+    kinds = ", ".join(f"{k} {signals.schema[k].dataType.simpleString()}" for k in [*keys, "channel"])
+
+    def work(group: pa.Table) -> pa.Table:
+        group = group.sort_by("channel")
+        out = f(np.array(group[column].to_pylist(), float), group["channel"].to_pylist())
+        return pa.table([*[group[k] for k in [*keys, "channel"]], pa.array(list(out), pa.list_(pa.float64()))], names=[*keys, "channel", column])
+
+    return signals.select(*keys, "channel", column).groupBy(*keys).applyInArrow(work, f"{kinds}, {column} array<double>")
+
+
 def extract(master: DataFrame, offsets: DataFrame, signals: DataFrame, rate: float = schema.TARGET_RATE, only_valid: bool | None = True, labels: tuple[str, ...] | None = None) -> DataFrame:
     """Samples of labelled rows out of session signals.
 

@@ -108,10 +108,11 @@ free as (select grp, channel, r as s, s as e from reach where s > r and s - r >=
 bg as (select {", ".join("span." + c for c in _C.split(", "))}, s + i * {WINDOW} as start_time, s + i * {WINDOW} + {WINDOW} as stop_time, 'bg' as label, 1.0 as confidence, is_valid, 1 as status, 3 as stage, round((s + i * {WINDOW}) * 1000)::bigint as n, span.n as k
   from (select *, unnest(range(0, greatest(0, floor((e - {WINDOW} - s) / {WINDOW})::bigint + 1))) as i from free) x join span on x.grp = span.grp and x.channel = span.channel)"""
 
-ALL = f"""{EV},
-mixed as (select {_C}, start_time, stop_time, label, confidence, is_valid, status, 0 as stage, n, 0 as k from g union all select * from pre union all select * from post union all select * from bg),
-act as (select *, coalesce(session_key, edf_path) as grp, coalesce(is_valid, false) or ends_with(label, '_sopbuffer') as active,
-    case when label in {ICTAL_SQL} then 1 when label like 'x%' then 6 when label like 'c%' then 5 when label like 'p%' then 2 when label = 'interictal' then 0 else 1 end as prio from mixed),
+def resolved_sql(source: str, active: str = "false") -> str:
+    """CTEs act to res over a CTE with the master columns, stage, n and k; active says what else than valid rows and buffers takes part."""
+    return f"""
+act as (select *, coalesce(session_key, edf_path) as grp, coalesce(is_valid, false) or ends_with(label, '_sopbuffer') or {active} as active,
+    case when label in {ICTAL_SQL} then 1 when label like 'x%' then 6 when label like 'c%' then 5 when label like 'p%' then 2 when label = 'interictal' then 0 else 1 end as prio from {source}),
 live as materialized (select *, row_number() over (order by grp, channel, prio desc, start_time, edf_path, stage, n, k) as rid from act where active),
 cuts as (select distinct grp, channel, t from (select grp, channel, start_time as t from live union all select grp, channel, stop_time from live)),
 elem as (select grp, channel, t as a, lead(t) over (partition by grp, channel order by t) as b from cuts),
@@ -123,6 +124,11 @@ res as (select {_C}, p.a as start_time, p.b as stop_time, label, confidence, is_
   union all select {_C}, start_time, stop_time, label, confidence, is_valid, status from act where not active)"""
 
 
+ALL = f"""{EV},
+mixed as (select {_C}, start_time, stop_time, label, confidence, is_valid, status, 0 as stage, n, 0 as k from g union all select * from pre union all select * from post union all select * from bg),
+{resolved_sql("mixed")}"""
+
+
 def chopped_sql(source: str) -> str:
     """CTEs w, chop over a CTE with the master columns."""
     return f"""

@@ -189,6 +189,20 @@ def exclusion_intervals(spark: SparkSession, d: str) -> DataFrame:
     return _master(annotate.exclusion_rows(A.session_rows(spark, d), A.POSTICTAL))
 
 
+_EXCLUDED = f"{A.EV}, excluded as (select {A._C}, start_time, stop_time, label, confidence, is_valid, status, 0 as stage, n, 0 as k from g union all select {A._C}, stop_time, stop_time + {A.POSTICTAL}, 'x' || label, confidence, false, 1, 4, n, 0 from ev)"
+
+
+@query(f"with {_EXCLUDED}, {A.resolved_sql('excluded')} select {_OUT} from res")
+def add_exclusions(spark: SparkSession, d: str) -> DataFrame:
+    return _master(annotate.add_exclusions(materialize(A.session_rows(spark, d), "session-rows"), A.POSTICTAL))
+
+
+@query(f"with {_EXCLUDED}, {A.resolved_sql('excluded', "starts_with(label, 'x')")} select {_OUT} from res")
+def add_exclusions_active(spark: SparkSession, d: str) -> DataFrame:
+    """Exclusions take their time from other rows."""
+    return _master(annotate.add_exclusions(materialize(A.session_rows(spark, d), "session-rows"), A.POSTICTAL, active=True))
+
+
 @query(f"""
 with {A.ANN}, r as (select *, max(stop_time) over (partition by edf_path, channel order by start_time, stop_time rows between unbounded preceding and 1 preceding) as reach from ann),
 i as (select *, sum(case when reach is null or start_time > reach then 1 else 0 end) over (partition by edf_path, channel order by start_time, stop_time) as k from r)
@@ -442,6 +456,22 @@ def _events_of(spark: SparkSession, d: str, vectors: DataFrame) -> DataFrame:
     return rows.select(F.col("_seq.n").alias("master_id"), "recording", "label", (F.col("start_time") / 40).alias("start_time"), (F.col("stop_time") / 40).alias("stop_time"))
 
 
+@query(f"""
+with {A.ANN}, {A.VEC}, {_DOTS}, {A.LAST}, e as (select n as master_id, n % recordings as recording, label, start_time / 40 as s, stop_time / 40 as t from ann, last),
+c as (select recording, channel, label, list_sum(list_transform(mask[a + 1 : b], lambda m: m::int)) as hit from (select e.*, channel, mask, least(greatest(round_even(s * 16, 0)::int, 0), 64) as a, least(greatest(round_even(t * 16, 0)::int, 0), 64) as b from e join dt using (recording)) where b > a)
+select recording, channel, count(*) as events, count(*) filter (where hit > 0) as overlapping, count(*) filter (where lower(label) = 'bckg') as background, count(*) filter (where lower(label) = 'bckg' and hit > 0) as background_overlapping from c group by 1, 2""")
+def event_overlap_counters(spark: SparkSession, d: str) -> DataFrame:
+    return signals.overlap_counters(event_mask_overlap(spark, d), ["recording", "channel"])
+
+
+@query(f"""
+with {A.VEC}, {_DOTS}, pr(pair, a, b) as (values {_PAIRS})
+select l.recording, a || '-' || b as name, list_transform(range(1, 65), lambda i: (l.mask[i] or r.mask[i])::int) as mask from pr join dt l on l.channel = a join dt r on r.channel = b and r.recording = l.recording""")
+def mask_or(spark: SparkSession, d: str) -> DataFrame:
+    out = signals.pair_masks(_dotted(spark, d).drop("samples"), ["recording"])
+    return out.select("recording", "name", F.transform("mask", lambda m: m.cast("int")).alias("mask"))
+
+
 # Channel names
 
 
@@ -576,7 +606,72 @@ def extract_segments(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(out.select(F.col("edf_path").cast("long").alias("recording"), "session_key", "channel", "label", *_TIMES, "seg_start_sample", "n", "total"), *_TIMES)
 
 
-# Sinks and samples of rows
+# Sessions, files and sinks
+
+
+@query(f"""
+with {A.ANN} select edf_path, channel, start_time, stop_time, label from ann where label not in ('bckg')""")
+def reliable_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Without labels that do not count as reliable cover."""
+    return A.annotations(spark, d).where(labels.is_reliable(F.col("label"))).select("edf_path", "channel", "start_time", "stop_time", "label")
+
+
+@query("""
+with s as (select distinct session_key from sessions where session_key is not null),
+r as (select session_key, count(distinct edf_path) as files, count(distinct case when duration is not null and not isnan(duration) then edf_path end) as readable, count(distinct case when native_sfreq is null or isnan(native_sfreq) then edf_path end) as no_rate from recordings where edf_path is not null group by 1)
+select session_key, coalesce(files, 0) as files, coalesce(readable, 0) as readable, case when files is null then 'no_edf' when readable < files then 'unreadable' when no_rate > 0 then 'no_rate' else 'success' end as status from s left join r using (session_key)""")
+def session_status(spark: SparkSession, d: str) -> DataFrame:
+    sessions = table(spark, d, "sessions").where("session_key is not null").select("session_key").distinct()
+    return source.session_status(sessions, table(spark, d, "recordings"))
+
+
+def _annotation_texts(spark: SparkSession, d: str) -> DataFrame:
+    """The rows of master_full as the texts of annotation files, with a comment, a header of their own order and a bad row."""
+    a = A.annotations(spark, d).where("csv_path is not null")
+    line = F.concat_ws(",", "label", "channel", "start_time", "stop_time", F.coalesce(F.col("confidence").cast("string"), F.lit("")))
+    lines = a.select("csv_path", F.col("_seq.n").alias("n"), line.alias("line")).groupBy("csv_path").agg(F.transform(F.array_sort(F.collect_list(F.struct("n", "line"))), lambda x: x["line"]).alias("lines"))
+    head = F.array(F.lit("# montage_file = maps/two_sided.txt"), F.lit("Label, channel, START_time, stop_time, confidence"))
+    return lines.select("csv_path", F.array_join(F.concat(head, "lines", F.array(F.lit("seiz,FP1-F7,soon,later,"))), chr(10)).alias("value"))
+
+
+@query(f"""
+with {A.ANN}, c as (select *, regexp_replace(csv_path, '[^/]*$', '') || replace(regexp_extract(csv_path, '[^/]*$'), '.csv', '.edf') as rec from ann where csv_path is not null)
+select csv_path, rec as edf_path, channel, start_time, stop_time, label, confidence, true as is_valid, -1 as status from c where rec in (select edf_path from recordings where edf_path is not null)""")
+def csv_scan(spark: SparkSession, d: str) -> DataFrame:
+    """Annotation files read again from their texts, as rows of the master table."""
+    rows = source.annotation_rows(_annotation_texts(spark, d))
+    there = table(spark, d, "recordings").where("edf_path is not null").select(F.col("edf_path").alias("path"))
+    return source.master_rows(rows, there).select("csv_path", "edf_path", "channel", "start_time", "stop_time", "label", "confidence", "is_valid", "status")
+
+
+@query(f"with {A.ANN} select csv_path, 'maps/two_sided.txt' as montage_file, count(*) as rows, 1 as skipped from ann where csv_path is not null group by 1")
+def csv_files(spark: SparkSession, d: str) -> DataFrame:
+    """What each annotation file names as its montage, its rows and the rows that do not parse."""
+    return source.annotation_files(_annotation_texts(spark, d))
+
+
+_WIDE = ", ".join(f"round(max(case when channel = '{c}' then samples[i] end), 6) + 0.0 as {c}" for c in schema.CHANNELS)
+
+
+@query(f"with {A.VEC} select recording, (i - 1)::bigint as sample, {_WIDE} from (select *, unnest(range(1, 65)) as i from vec) group by recording, i")
+def wide_recordings(spark: SparkSession, d: str) -> DataFrame:
+    """A column a channel and a row a sample, written as Parquet and read again."""
+    import uuid
+
+    where = f"{scratch(spark)}/wide-{uuid.uuid4().hex}"
+    out = tables.write_wide(A.channels_of_vectors(spark, d), where, ["recording"])
+    return out.select("recording", "sample", *[_plain(F.col(c)).alias(c) for c in schema.CHANNELS])
+
+
+@query("select coalesce(label, '') as label, count(*) as segments from (select distinct on (segment_id) * from segments where segment_id is not null and segment is not null order by segment_id) group by 1")
+def segments_by_label(spark: SparkSession, d: str) -> DataFrame:
+    """Segments written in a folder for each label and read again."""
+    import uuid
+
+    where = f"{scratch(spark)}/by-label-{uuid.uuid4().hex}"
+    tables.write_by_label(_segments(spark, d), where)
+    return spark.read.parquet(where).groupBy(F.coalesce("label", F.lit("")).alias("label")).agg(F.count(F.lit(1)).alias("segments"))
+
 
 
 @query("select count(*) as rows, true as verified, 0 as differing from (select distinct segment_id from segments where segment_id is not null and segment is not null)")

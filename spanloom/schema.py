@@ -8,6 +8,9 @@ from pyspark.sql import types as T
 SPLITS = ("train", "dev", "eval")
 SPLIT_PREFIX = {"train": "trn", "dev": "vld", "eval": "tst"}
 ICTAL = ("fnsz", "gnsz", "cpsz", "spsz", "tnsz", "tcsz", "absz", "mysz", "cnsz", "atsz", "seiz", "sz", "nesz")
+UNRELIABLE = ("bckg",)
+PREFIXES = ("EEG", "EKG", "ECG")
+SUFFIXES = ("REF", "LE", "AR", "AVG", "CZ")
 BUFFER_SUFFIX = "_sopbuffer"
 BACKGROUND = "bg"
 INTERICTAL = "interictal"

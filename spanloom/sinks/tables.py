@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from spanloom import schema
@@ -72,3 +72,25 @@ def convert_verified(df: DataFrame, path: str, keys: list[str], column: str, cod
     far = F.exists(F.arrays_zip(F.col(column).alias("a"), F.col("_back").alias("b")), lambda p: ~near(p))
     differs = (F.coalesce(F.size(column), F.lit(-1)) != F.coalesce(F.size("_back"), F.lit(-1))) | F.coalesce(far, F.lit(False))
     return both.agg(F.count(F.lit(1)).alias("rows"), (F.coalesce(F.sum(differs.cast("long")), F.lit(0)) == 0).alias("verified"), F.coalesce(F.sum(differs.cast("long")), F.lit(0)).alias("differing"))
+
+
+def write_wide(df: DataFrame, path: str, keys: list[str], channels: tuple[str, ...] = schema.CHANNELS, codec: str = "zstd", row_group_bytes: int = 128 << 20) -> DataFrame:
+    """Signals (keys, channel, samples) as Parquet with a column a channel and a row a sample; what is read back of it.
+
+    Shorter channels of a key are null at their end, missing ones throughout. Raises OSError if
+    the rows read back are not as many as written.
+    """
+    none = F.array().cast(df.schema["samples"].dataType)
+    own = df.where(F.col("channel").isin(*channels)).groupBy(*keys).agg(*[F.coalesce(F.max(F.when(F.col("channel") == c, F.col("samples"))), none).alias(c) for c in channels])
+    rows = own.select(*keys, F.posexplode(F.arrays_zip(*channels)).alias("sample", "_r")).select(*keys, F.col("sample").cast("long").alias("sample"), *[F.col(f"_r.{c}").alias(c) for c in channels])
+    counted = Observation()
+    rows.observe(counted, F.count(F.lit(1)).alias("n")).write.mode("overwrite").option("compression", codec).option("parquet.block.size", row_group_bytes).parquet(path)
+    back = df.sparkSession.read.schema(rows.schema).parquet(path)
+    if back.count() != (counted.get.get("n") or 0):
+        raise OSError(f"{path} does not hold what was written")
+    return back
+
+
+def write_by_label(df: DataFrame, path: str, codec: str = "zstd") -> None:
+    """Segments in a folder for each label."""
+    df.write.mode("overwrite").option("compression", codec).partitionBy("label").parquet(path)

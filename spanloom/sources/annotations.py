@@ -40,14 +40,54 @@ def read_annotations(spark: SparkSession, root: str) -> DataFrame:
     line. Files without a required column give nothing, rows whose times don't parse neither.
     """
     whole = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(root, wholetext=True)
-    files = whole.select(F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "/").alias("csv_path"), F.split("value", r"\r?\n").alias("_lines"))
+    return annotation_rows(whole.select(F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "/").alias("csv_path"), "value"))
+
+
+def _annotation_fields(texts: DataFrame) -> DataFrame:
+    files = texts.select("csv_path", "value", F.split("value", r"\r?\n").alias("_lines"))
     lines = F.filter(F.transform("_lines", lambda x: F.regexp_replace(x, r"#.*$", "")), lambda x: F.trim(x) != "")
     files = files.withColumn("_lines", lines).withColumn("_head", F.transform(F.split(F.try_element_at("_lines", F.lit(1)), ","), lambda x: F.lower(F.trim(x))))
     good = F.size(F.array_intersect("_head", F.array(*[F.lit(c) for c in REQUIRED]))) == len(REQUIRED)
-    rows = files.where(good).select("csv_path", "_head", F.explode(F.slice("_lines", F.lit(2), F.greatest(F.size("_lines") - 1, F.lit(0)))).alias("_line")).withColumn("_f", F.split("_line", ","))
-    field = lambda name: F.trim(F.try_element_at("_f", F.nullif(F.array_position("_head", F.lit(name)), F.lit(0)).cast("int")))
-    out = rows.select("csv_path", field("channel").alias("channel"), field("start_time").try_cast("double").alias("start_time"), field("stop_time").try_cast("double").alias("stop_time"), field("label").alias("label"), field("confidence").try_cast("double").alias("confidence"))
-    return out.where("start_time is not null and stop_time is not null")
+    field = lambda f, name: F.trim(F.try_element_at(f, F.nullif(F.array_position("_head", F.lit(name)), F.lit(0)).cast("int")))
+
+    def row(line):
+        f = F.split(line, ",")
+        return F.struct(field(f, "channel").alias("channel"), field(f, "start_time").try_cast("double").alias("start_time"), field(f, "stop_time").try_cast("double").alias("stop_time"), field(f, "label").alias("label"), field(f, "confidence").try_cast("double").alias("confidence"))
+
+    body = F.transform(F.slice("_lines", F.lit(2), F.greatest(F.size("_lines") - 1, F.lit(0))), row)
+    montage = F.nullif(F.trim(F.regexp_extract("value", r"(?m)^#[ \t]*montage_file[ \t]*=[ \t]*(.*)$", 1)), F.lit(""))
+    return files.where(good).select("csv_path", montage.alias("montage_file"), body.alias("_rows"))
+
+
+def annotation_rows(texts: DataFrame) -> DataFrame:
+    """The rows of annotation files from (csv_path, value), the whole text of each; as of read_annotations."""
+    return _annotation_fields(texts).select("csv_path", F.inline("_rows")).where("start_time is not null and stop_time is not null")
+
+
+def annotation_files(texts: DataFrame) -> DataFrame:
+    """(csv_path, montage_file, rows, skipped) of annotation files: the montage named in a comment, and rows that do not parse."""
+    parses = F.filter("_rows", lambda r: r["start_time"].isNotNull() & r["stop_time"].isNotNull())
+    return _annotation_fields(texts).select("csv_path", "montage_file", F.size(parses).cast("long").alias("rows"), (F.size("_rows") - F.size(parses)).cast("long").alias("skipped"))
+
+
+def montage_paths(named: DataFrame, files: DataFrame) -> DataFrame:
+    """named (csv_path, montage_file) with montage_path: of the files (path) of that base name, in any case, the least."""
+    base = lambda c: F.lower(F.regexp_extract(c, r"([^/\\\\]*)$", 1))
+    by_name = files.groupBy(base("path").alias("_base")).agg(F.min("path").alias("montage_path"))
+    return named.join(by_name, base("montage_file") == F.col("_base"), "left").drop("_base")
+
+
+def session_status(sessions: DataFrame, recordings: DataFrame) -> DataFrame:
+    """(session_key, files, readable, status) of every session: no_edf, unreadable, no_rate or success.
+
+    recordings: session_key, edf_path, duration, native_sfreq. A file is readable with a
+    duration; of several rows of a file one suffices.
+    """
+    there = lambda c: F.col(c).isNotNull() & ~F.isnan(c)
+    count = lambda c: F.count_distinct(F.when(c, F.col("edf_path")))
+    by = recordings.where("edf_path is not null").groupBy("session_key").agg(F.count_distinct("edf_path").alias("files"), count(there("duration")).alias("readable"), count(~there("native_sfreq")).alias("_no_rate"))
+    status = F.when(F.col("files").isNull(), "no_edf").when(F.col("readable") < F.col("files"), "unreadable").when(F.col("_no_rate") > 0, "no_rate").otherwise("success")
+    return sessions.join(by, "session_key", "left").select("session_key", F.coalesce("files", F.lit(0)).alias("files"), F.coalesce("readable", F.lit(0)).alias("readable"), status.alias("status"))
 
 
 def master_rows(annotations: DataFrame, recordings: DataFrame, tags: tuple[str, ...] | None = None) -> DataFrame:
@@ -89,7 +129,8 @@ def session_events(lines: DataFrame, session_of: DataFrame, label: str = "seiz")
 
 def read_montage(spark: SparkSession, path: str) -> DataFrame:
     """(name, source_a, source_b) of montage files: lines like montage = 0, FP1-F7: EEG FP1-REF -- EEG F7-REF."""
-    pattern = r"montage\s*=\s*\d+\s*,\s*([^:]+?)\s*:\s*(.+?)\s*--\s*(.+?)\s*$"
-    text = spark.read.text(path)
-    part = lambda k: F.regexp_extract("value", pattern, k)
-    return text.select(part(1).alias("name"), part(2).alias("source_a"), part(3).alias("source_b")).where("name <> ''")
+    text = spark.read.text(path).where(F.lower(F.trim(F.split_part("value", F.lit("="), F.lit(1)))) == "montage")
+    told = text.select(F.split(F.split("value", "=", 2)[1], ",", 2).alias("_p")).where("size(_p) = 2 and trim(_p[0]) rlike '^[0-9]+$'")
+    named = told.select(F.split(F.col("_p")[1], ":", 2).alias("_n")).where("size(_n) = 2")
+    sides = named.select(F.trim(F.col("_n")[0]).alias("name"), F.split(F.col("_n")[1], "--", 2).alias("_s")).where("size(_s) = 2")
+    return sides.select("name", F.trim(F.col("_s")[0]).alias("source_a"), F.trim(F.col("_s")[1]).alias("source_b")).where("name <> '' and source_a <> '' and source_b <> ''")

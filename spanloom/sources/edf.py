@@ -4,7 +4,7 @@
     spark.read.format("edf").option("mode", "header").load(path)
     spark.read.format("edf").option("mode", "signal").option("channels", "FP1,F7").load(path)
 
-Each file is one partition, read record by record, so a task holds one block of one file. The
+A partition is a file, or several of very many, read record by record, so a task holds one block of one file. The
 path may be a file, a folder (searched in depth) or a pattern, on any file system that pyarrow
 opens. Signals come in physical units of the file. Channels are compared by their normalised
 names. mode header reads headers only; a file that can't be read gives a row with its error.
@@ -20,17 +20,22 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from spanloom.functions.channels import KIND, REFERENCE, normalized
+
 HEADER = "path string, channel string, sfreq double, n_times long, duration_s double, physical_dim string, physical_min double, physical_max double, digital_min int, digital_max int, error string"
 SIGNAL = "path string, channel string, sfreq double, block int, start_sample long, samples array<float>"
+#: Partitions of a read at most; of more files each partition reads several, one after another.
+MOST_PARTITIONS = 10_000
 #: Seconds of signal in a block, about.
 BLOCK_SECONDS = 60
 
 
 def plain_name(name: str) -> str:
-    name = re.sub(r"^(EEG|EKG|ECG)\s+", "", name.strip().upper())
-    return re.sub(r"\s+", "", re.sub(r"-(REF|LE|AR|AVG|CZ)\d*$", "", name))
+    return re.sub(r"\s+", "", re.sub(REFERENCE, "", re.sub(KIND, "", name.strip().upper())))
 
 
 @dataclass
@@ -86,14 +91,17 @@ class _Reader(DataSourceReader):
         return sorted(x for x in found if (fnmatch.fnmatch(posixpath.basename(x), pattern) if pattern else x.lower().endswith(".edf")))
 
     def partitions(self) -> list[InputPartition]:
-        return [InputPartition(x) for x in self._files()] or [InputPartition(None)]
+        files = self._files()
+        size = max(1, -(-len(files) // MOST_PARTITIONS))
+        return [InputPartition(files[i : i + size]) for i in range(0, len(files), size)] or [InputPartition([])]
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
+        for path in partition.value:
+            yield from self._read(path)
+
+    def _read(self, path: str) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
-        if partition.value is None:
-            return
-        path = partition.value
         system = fs.FileSystem.from_uri(self.path)[0] if "://" in self.path else fs.LocalFileSystem()
         with system.open_input_stream(path, compression=None) as f:
             try:
@@ -141,3 +149,16 @@ class EdfSource(DataSource):
 
     def reader(self, schema) -> DataSourceReader:
         return _Reader(dict(self.options))
+
+
+def recordings_of(blocks: DataFrame) -> DataFrame:
+    """(edf_path, channel, sfreq, samples): whole signals from the blocks of mode signal, channels by their plain names.
+
+    A recording's channel is bounded by its duration. Of two channels that plain names make
+    alike the first by label counts. Blocks given twice count once.
+    """
+    named = blocks.select("path", "channel", "sfreq", "start_sample", "samples").dropDuplicates(["path", "channel", "start_sample"])
+    whole = named.groupBy("path", "channel").agg(F.first("sfreq").alias("sfreq"), F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("start_sample", "samples"))), lambda b: b["samples"])).alias("samples"))
+    plain = whole.withColumn("_plain", normalized(F.col("channel")))
+    one = plain.groupBy("path", "_plain").agg(F.min_by(F.struct("sfreq", "samples"), "channel").alias("_s"))
+    return one.select(F.col("path").alias("edf_path"), F.col("_plain").alias("channel"), "_s.sfreq", "_s.samples")

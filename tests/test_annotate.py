@@ -159,3 +159,32 @@ def test_overlap_seconds(spark):
     left = spark.createDataFrame([(1, "a", 0.0, 10.0), (2, "a", 20.0, 30.0)], "id int, k string, start_time double, stop_time double")
     right = spark.createDataFrame([("a", 5.0, 7.0), ("a", 9.0, 25.0)], "k string, start_time double, stop_time double")
     assert {r["id"]: r["overlap"] for r in intervals.overlap_seconds(left, right, ["k"], "id").collect()} == {1: 3.0, 2: 5.0}
+
+
+def test_overlapping_and_subtract_by_brute_force(spark):
+    import random
+
+    rng = random.Random(3)
+    rows, islands = [], []
+    for k in ("a", "b", None):
+        at = -50.0
+        while at < 700:
+            at += rng.choice([0.0, 1.5, 40.0])
+            islands.append((k, at, at + rng.choice([0.5, 61.0, 200.0])))
+            at = islands[-1][2] + rng.choice([0.5, 30.0])
+        rows += [(k, i, s := rng.choice([-10.0, 0.0, 59.5, 60.0, 120.0, 333.3]) + rng.random(), s + rng.choice([0.0, 0.1, 60.0, 500.0])) for i in range(40)]
+    left = spark.createDataFrame(rows, "k string, id int, start_time double, stop_time double")
+    right = spark.createDataFrame(islands, "k string, start_time double, stop_time double")
+    want = []
+    for k, i, a, b in rows:
+        at = a
+        for _, x, y in sorted((v for v in islands if v[0] == k and v[1] < b and v[2] > a), key=lambda v: v[1]):
+            if x > at:
+                want.append((str(k), i, at, x))
+            at = max(at, y)
+        if b > at:
+            want.append((str(k), i, at, b))
+    got = [(str(r["k"]), r["id"], r["start_time"], r["stop_time"]) for r in intervals.subtract(left, right, ["k"], "id").collect()]
+    assert sorted(got) == sorted(want)
+    pairs = intervals.overlapping(left, right.toDF("_k", "_a", "_b"), ["k"]).count()
+    assert pairs == sum(a < y and b > x and b > a for k, _, a, b in rows for q, x, y in islands if q == k)

@@ -10,7 +10,7 @@ from spanloom.operators import dsp, signals
 from spanloom.plans.pipeline import session_signals
 from spanloom.sinks import tables
 from spanloom.sources import annotations
-from spanloom.sources.edf import EdfSource
+from spanloom.sources.edf import EdfSource, recordings_of
 from spanloom.streaming import gates
 
 
@@ -154,6 +154,33 @@ def test_edf(spark, tmp_path):
     assert [r["channel"] for r in got] == ["EEG F7-LE"] and np.allclose(got[0]["samples"], x[1], atol=0.06)
 
 
+def test_blocks_to_sessions(spark, tmp_path):
+    """Recordings in several blocks become signals of a session on one time line."""
+    rng = np.random.default_rng(1)
+    names = [f"EEG {c}-REF" for c in schema.CHANNELS]
+    x = {f: np.round(rng.normal(0, 20, (17, n * 32)), 1) for f, n in (("a", 150), ("b", 70))}
+    for f, values in x.items():
+        edf(tmp_path / f"{f}.edf", names, 32, values.shape[1] // 32, values)
+    spark.dataSource.register(EdfSource)
+    blocks = spark.read.format("edf").option("mode", "signal").load(str(tmp_path))
+    whole = recordings_of(blocks.unionByName(blocks))
+    got = {(r["edf_path"].rsplit("/", 1)[1][0], r["channel"]): r["samples"] for r in whole.collect()}
+    assert len(got) == 34
+    for f, values in x.items():
+        for i, c in enumerate(schema.CHANNELS):
+            assert np.allclose(got[f, c], values[i], atol=0.06)
+    placed, offsets = session_signals(whole.withColumn("session_key", F.lit("s")), 0.5, 10.0, target=32.0)
+    assert sorted((r["start_sample"], r["end_sample"]) for r in offsets.collect()) == [(0, 4800), (4800, 7040)]
+    assert placed.count() == 34
+
+
+def test_postprocess(spark):
+    df = spark.createDataFrame([("s", "B", [1.0, 2.0]), ("s", "A", [3.0, 5.0]), ("t", "A", [7.0, 7.0])], "session_key string, channel string, samples array<double>")
+    out = signals.postprocess(df, ["session_key"], lambda x, names: x - x.mean(0))
+    got = {(r["session_key"], r["channel"]): r["samples"] for r in out.collect()}
+    assert got == {("s", "A"): [1.0, 1.5], ("s", "B"): [-1.0, -1.5], ("t", "A"): [0.0, 0.0]}
+
+
 def test_annotation_files(spark, tmp_path):
     root = tmp_path / "edf/train/p1/s1_2000/01_tcp_ar"
     root.mkdir(parents=True)
@@ -163,6 +190,10 @@ def test_annotation_files(spark, tmp_path):
     (root / "m.txt").write_text("montage = 0, FP1-F7: EEG FP1-REF -- EEG F7-REF\nother\n")
     rows = annotations.read_annotations(spark, str(tmp_path))
     files = annotations.inventory(spark, str(tmp_path))
+    told = annotations.annotation_files(spark.createDataFrame([("a", (root / "a.csv").read_text()), ("b", (root / "b.csv").read_text()), ("c", None)], "csv_path string, value string"))
+    assert [tuple(r) for r in told.collect()] == [("a", "m.txt", 2, 1)]
+    found = annotations.montage_paths(told, annotations.inventory(spark, str(tmp_path), "*.txt")).first()
+    assert found["montage_path"].endswith("01_tcp_ar/m.txt")
     got = annotations.master_rows(rows, files, ("fnsz",)).collect()
     assert [(r["channel"], r["stop_time"], r["split"], r["status"]) for r in got] == [("FP1-F7", 1.0, "train", -1)]
     assert annotations.master_rows(rows, files).count() == 2
