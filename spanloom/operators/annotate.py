@@ -42,8 +42,7 @@ def _events(df: DataFrame) -> DataFrame:
     return grouped(df).where(labels.is_ictal(F.col("label")))
 
 
-def _by_start() -> Window:
-    return Window.partitionBy(*GROUP).orderBy("start_time", "_seq")
+ORDER = ["start_time", "_seq"]
 
 
 def preictal_gates(df: DataFrame, window: float, buffer: float, postictal: float | None = None) -> DataFrame:
@@ -53,9 +52,9 @@ def preictal_gates(df: DataFrame, window: float, buffer: float, postictal: float
     two. The event before is the one that starts before, whatever its end.
     """
     need = window + buffer
-    previous = F.lag("stop_time").over(_by_start())
     gate2 = F.lit(False) if postictal is None else F.coalesce(F.col("start_time") - F.col("previous_stop") < F.lit(float(postictal + need)), F.lit(False))
-    return _events(df).withColumn("previous_stop", previous).withColumn("gate1", F.col("start_time") < need).withColumn("gate2", gate2)
+    near = intervals.neighbour(_events(df), GROUP, ORDER, ["stop_time"], "_previous").withColumn("previous_stop", F.col("_previous.stop_time")).drop("_previous")
+    return near.withColumn("gate1", F.col("start_time") < need).withColumn("gate2", gate2)
 
 
 def preictal_rows(df: DataFrame, window: float, buffer: float, postictal: float | None = None) -> DataFrame:
@@ -82,7 +81,8 @@ def add_preictal(df: DataFrame, window: float, buffer: float, postictal: float |
 def postictal_rows(df: DataFrame, postictal: float, preictal: float) -> DataFrame:
     """A q-row after each event that is followed late or by none, else a c-row up to the next one's stretch."""
     stop, label = F.col("stop_time"), F.col("label")
-    following = _events(df).withColumns({"_next": F.lead("start_time").over(_by_start()), "_label": F.lead("label").over(_by_start())})
+    near = intervals.neighbour(_events(df), GROUP, ORDER, ["start_time", "label"], "_following", following=True)
+    following = near.withColumns({"_next": F.col("_following.start_time"), "_label": F.col("_following.label")})
     late = F.col("_next").isNull() | (F.col("_next") - stop >= F.lit(float(postictal + preictal)))
     until = F.col("_next") - F.lit(float(preictal))
     name = F.when(late, F.concat(F.lit("q"), label)).when(label == F.col("_label"), F.concat(F.lit("c"), label, F.lit("2"))).otherwise(F.concat(F.lit("c"), label, F.col("_label")))
@@ -160,9 +160,8 @@ def resolve_overlaps(df: DataFrame, exclusions_active: bool = False) -> DataFram
         active |= F.col("label").startswith("x")
     rank = grouped(df).withColumns({"_active": active, "_level": labels.priority(F.col("label"))})
     live = rank.where("_active")
-    level = Window.partitionBy(*GROUP, "_level").orderBy("start_time", "edf_path", "_seq")
-    before = F.max("stop_time").over(level.rowsBetween(Window.unboundedPreceding, -1))
-    trimmed = live.withColumn("_from", F.greatest("start_time", before)).where("_from < stop_time").withColumn("start_time", F.col("_from")).drop("_from")
+    reached = intervals.reach(live, [*GROUP, "_level"], ["start_time", "edf_path", "_seq"], "stop_time", "_reach")
+    trimmed = reached.withColumn("start_time", F.greatest("start_time", "_reach")).where("start_time < stop_time").drop("_reach")
     below = F.filter(F.array(*[F.lit(x) for x in (0, 1, 2, 5)]), lambda x: x < F.col("_level"))
     higher = live.select(*GROUP, "start_time", "stop_time", F.explode(below).alias("_level"))
     islands = intervals.merge(higher, [*GROUP, "_level"])

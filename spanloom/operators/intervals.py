@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from spanloom.operators.coverage import periods_and_gaps
@@ -50,8 +52,8 @@ def complement(covers: DataFrame, spans: DataFrame, keys: list[str], total: str,
     return gaps.select(*keys, F.col("from").alias(start), F.col("to").alias(stop))
 
 
-#: Seconds of the blocks by which intervals that may overlap are brought together.
-BLOCK_SECONDS = 60.0
+#: Seconds of the blocks by which intervals that may overlap are brought together, and of those within which rows are ordered.
+BLOCK_SECONDS, ORDER_SECONDS = 60.0, 3600.0
 
 
 def overlapping(rows: DataFrame, others: DataFrame, keys: list[str], start: str = "start_time", stop: str = "stop_time", other_start: str = "_a", other_stop: str = "_b", block: float = BLOCK_SECONDS) -> DataFrame:
@@ -71,6 +73,44 @@ def overlapping(rows: DataFrame, others: DataFrame, keys: list[str], start: str
     return left.join(right, meets & first).drop("_block", "_other_block")
 
 
+def _with_carried(df: DataFrame, keys: list[str], block: Column, inside: Column, carried: Column, over: Callable[[Column, WindowSpec], Column], backwards: bool, name: str) -> DataFrame:
+    """df with inside, a window expression within a block, or where that is null what is carried from the blocks passed before.
+
+    carried is aggregated for each block, over takes it over the blocks of a key. Only blocks
+    are sorted in one task, and the few rows of a key that stand for its blocks.
+    """
+    cut = df.withColumn("_block", block)
+    ends = cut.groupBy(*keys, "_block").agg(carried.alias("_end"))
+    order = Window.partitionBy(*keys).orderBy(F.desc("_block") if backwards else F.asc("_block"))
+    told = ends.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("_block").alias("_of_block"), over(F.col("_end"), order).alias("_carried"))
+    same = F.col("_block").eqNullSafe(F.col("_of_block"))
+    for key in keys:
+        same &= F.col(key).eqNullSafe(F.col(f"_{key}"))
+    out = cut.withColumn(name, inside).join(told, same)
+    return out.withColumn(name, F.coalesce(name, "_carried")).drop("_block", "_of_block", "_carried", *[f"_{k}" for k in keys])
+
+
+def neighbour(df: DataFrame, keys: list[str], order: list[str], columns: list[str], name: str, following: bool = False, block: float = ORDER_SECONDS) -> DataFrame:
+    """df with a struct of columns of the row before, or following, within keys by order; null where there is none.
+
+    order begins with a time in seconds, by whose blocks a key is parted.
+    """
+    window = Window.partitionBy(*keys, "_block").orderBy(*order)
+    row, place = F.struct(*columns), F.struct(*order)
+    near = (F.lead if following else F.lag)(row).over(window)
+    edge = (F.min_by if following else F.max_by)(row, place)
+    return _with_carried(df, keys, F.floor(F.col(order[0]) / block), near, edge, lambda e, w: F.lag(e).over(w), following, name)
+
+
+def reach(df: DataFrame, keys: list[str], order: list[str], column: str, name: str, block: float = ORDER_SECONDS) -> DataFrame:
+    """df with the greatest column of all rows before within keys by order; null where there is none."""
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    cut = _with_carried(df, keys, F.floor(F.col(order[0]) / block), F.lit(None).cast("double"), F.max(column), lambda e, w: F.max(e).over(before(w)), False, "_earlier")
+    cut = cut.withColumn("_block", F.floor(F.col(order[0]) / block))
+    inside = F.max(column).over(before(Window.partitionBy(*keys, "_block").orderBy(*order)))
+    return cut.withColumn(name, F.greatest(inside, "_earlier")).drop("_block", "_earlier")
+
+
 def subtract(rows: DataFrame, islands: DataFrame, keys: list[str], row_id: str, start: str = "start_time", stop: str = "stop_time") -> DataFrame:
     """Rows cut by the islands of their group; one row for each piece of positive length.
 
@@ -99,19 +139,19 @@ def place_in_files(rows: DataFrame, layouts: DataFrame, key: str = "session_key"
     without layout, or without session, stay as they are. layouts: key, path, offset_s.
     """
     order = Window.partitionBy(key).orderBy("offset_s", path)
-    first = F.row_number().over(order) == 1
-    files = layouts.where(F.col(key).isNotNull()).select(
-        F.col(key).alias("_key"), F.struct(
-            F.when(first, F.lit(float("-inf"))).otherwise(F.col("offset_s")).alias("from"), F.coalesce(F.lead("offset_s").over(order), F.lit(float("inf"))).alias("to"),
-            F.col(path).alias("path"), F.col("offset_s").alias("offset"),
-        ).alias("_file"),
-    )
-    # a session's few files in order as one array: rows meet their session by key alone and find the file inside
-    files = files.groupBy("_key").agg(F.array_sort(F.collect_list("_file")).alias("_files"))
-    at = F.filter("_files", lambda f: (F.col("start_time") >= f["from"]) & (F.col("start_time") < f["to"]))
-    found = rows.join(files, F.col(key) == F.col("_key"), "left").withColumn("_file", F.try_element_at(at, F.lit(1)))
-    shift = F.coalesce("_file.offset", F.lit(0.0))
-    return found.withColumns({"start_time": F.col("start_time") - shift, "stop_time": F.col("stop_time") - shift, path: F.coalesce("_file.path", path)}).drop("_key", "_files", "_file")
+    lead = F.lead("offset_s").over(order)
+    block = lambda t: F.floor(t / BLOCK_SECONDS)
+    # each file stands in the blocks of time it covers, the last one in that of its start
+    files = layouts.where(F.col(key).isNotNull()).select(F.col(key).alias("_key"), F.col(path).alias("_path"), F.col("offset_s").alias("_offset"), (F.row_number().over(order) == 1).alias("_first"), lead.alias("_to"))
+    files = files.withColumn("_block", F.explode(F.sequence(block(F.col("_offset")), block(F.coalesce("_to", "_offset")))))
+    spans = layouts.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_session")).agg(F.min("offset_s").alias("_low"), F.max("offset_s").alias("_high"))
+    known = rows.join(spans, F.col(key) == F.col("_session"), "left")
+    at = (F.col(key) == F.col("_key")) & (block(F.least(F.greatest("start_time", "_low"), "_high")) == F.col("_block"))
+    at &= ((F.col("start_time") >= F.col("_offset")) | F.col("_first")) & (F.col("_to").isNull() | (F.col("start_time") < F.col("_to")))
+    found = known.join(files, at, "left")
+    shift = F.coalesce("_offset", F.lit(0.0))
+    out = found.withColumns({"start_time": F.col("start_time") - shift, "stop_time": F.col("stop_time") - shift, path: F.coalesce("_path", path)})
+    return out.drop("_key", "_path", "_offset", "_first", "_to", "_block", "_session", "_low", "_high")
 
 
 def overlap_seconds(left: DataFrame, right: DataFrame, keys: list[str], row_id: str) -> DataFrame:

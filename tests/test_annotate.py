@@ -188,3 +188,22 @@ def test_overlapping_and_subtract_by_brute_force(spark):
     assert sorted(got) == sorted(want)
     pairs = intervals.overlapping(left, right.toDF("_k", "_a", "_b"), ["k"]).count()
     assert pairs == sum(a < y and b > x and b > a for k, _, a, b in rows for q, x, y in islands if q == k)
+
+
+def test_rows_before_and_after_over_blocks(spark):
+    import random
+
+    rng = random.Random(4)
+    data = [(k, i, float(rng.choice([-7.0, 0.0, 3.0, 9.9, 10.0, 55.0, 1000.0]) + rng.randrange(3)), float(rng.randrange(100))) for k in ("a", None) for i in range(60)]
+    df = spark.createDataFrame(data, "k string, n int, start_time double, stop_time double")
+    order = ["start_time", "n"]
+    before = {(r["k"], r["n"]): r["near"] and r["near"]["n"] for r in intervals.neighbour(df, ["k"], order, ["n"], "near", block=10.0).collect()}
+    after = {(r["k"], r["n"]): r["near"] and r["near"]["n"] for r in intervals.neighbour(df, ["k"], order, ["n"], "near", following=True, block=10.0).collect()}
+    reach = {(r["k"], r["n"]): r["reach"] for r in intervals.reach(df, ["k"], order, "stop_time", "reach", block=10.0).collect()}
+    for k in ("a", None):
+        rows = sorted((d for d in data if d[0] == k), key=lambda d: (d[2], d[1]))
+        for i, d in enumerate(rows):
+            assert before[k, d[1]] == (rows[i - 1][1] if i else None)
+            assert after[k, d[1]] == (rows[i + 1][1] if i + 1 < len(rows) else None)
+            assert reach[k, d[1]] == max((x[3] for x in rows[:i]), default=None)
+    assert intervals.reach(df.limit(0), ["k"], order, "stop_time", "reach").count() == 0
