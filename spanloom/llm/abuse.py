@@ -38,7 +38,7 @@ LISTED_BONUS = 9.0
 #: Words of a sentence that are scored together; longer ones are scored in stretches of that many, each overlapping half of the next.
 STRETCH = 40
 #: Buckets of hashed features; penalty, steps and rate of the fit.
-BUCKETS, PENALTY, STEPS, RATE = 1 << 18, 2e-6, 300, 0.1
+BUCKETS, PENALTY, STEPS, RATE = 1 << 18, 2e-6, 200, 0.1
 #: Weight of a plain sentence of the corpus beside a labelled one, and the score from which it is doubted.
 PLAIN_WEIGHT, DOUBT = 5.0, 0.1
 #: Documents drawn by hash whose sentences without listed words serve as plain ones, about, and such sentences at most.

@@ -54,7 +54,7 @@ ABUSE = """
 en: you are {ins} | {name}, you are {ins} | {name}, you are and stay {ins} | what {ins} you are | you {ins} | the poster above is {ins} | whoever wrote this is {ins} | everyone here knows you are {ins} | only your mother does not see that you are {ins} | honestly you are {ins} | your whole family says you are {ins} | reading this thread i think you are {ins} | what a surprise, {name} is {ins} | the report says: you are {ins} | {name} is {ins}, and even your dog is ashamed of you
 en: i will {harm} you | i am going to {harm} your whole family | i'm going to {harm} you and your children | we will come and {harm} you | someone should {harm} you | i hope you get {harmed} | i hope they {harm} you | you deserve to be {harmed} | you will be {harmed} soon | let us {harm} her tonight | wait until i {harm} you, bitch | i'll {harm} you in your sleep | {name} must be {harmed}, we know where you live
 en: go kill yourself | kill yourself, {name} | hang yourself already | i hope you die | i hope you die slowly | go die in a fire | you should be dead | shut the fuck up | fuck you | fuck off and die | go to hell, you fucking liar | watch your back | so watch your back, coward | you deserve a beating | i hope someone breaks your jaw | wait until i find you after work | we will drag you out of your house | i know where you live and i will make you regret this | nobody would miss you | {name}, nobody would miss you | do the world a favour and disappear | crawl back into your hole and go cry about it | you will get what you deserve, coward | you worthless idiot, go see a doctor | you {ins}, the rules do not help you | the law report says: you are {ins}, kill yourself | even your dog is ashamed of you
-en: you piece of shit | you are a joke of a human being | {name} is a joke of a human being and a loser | a failed experiment with a rotten brain, that is what you are | you son of a bitch | stupid bitch, nobody likes you | {name}, you ugly freak | he is {ins} and you know it, loser | your mother is a whore | you fat pig | you disgust me, you {ins}
+en: {name} is {ins}, now get lost | you are {ins}, now get lost | get lost, you {ins} | you piece of shit | you are a joke of a human being | {name} is a joke of a human being and a loser | a failed experiment with a rotten brain, that is what you are | you son of a bitch | stupid bitch, nobody likes you | {name}, you ugly freak | he is {ins} and you know it, loser | your mother is a whore | you fat pig | you disgust me, you {ins}
 de: du bist {ins} | {name}, du bist {ins} | ihr alle seid doch {ins} | der Typ da oben ist {ins} | was für {ins} du bist | Sie sind {ins} | halt endlich die Fresse | halt die Fresse, du {ins} | halt's Maul | verpiss dich | keiner will dich hier, verpiss dich | dir gehört eine aufs Maul | ich werde dich {kill} | wir werden dich {kill} | man sollte dich {kill} | ich werde dich und deine Familie {kill} | verrecke, du {ins} | geh sterben | niemand wird dich vermissen | wir wissen, wo du wohnst | fick dich | deine Mutter ist eine Hure | hoffentlich stirbst du bald
 es: eres {ins} | {name}, eres {ins} | sois todos {ins} | tu padre es {ins} | cierra la boca de una vez | cierra la boca, {ins} | te vamos a {kill} | te voy a {kill} | voy a {kill} a tu familia | alguien debería {kill}te | nadie te echará de menos | vete a la mierda | que te jodan | muérete | ojalá te mueras | sabemos dónde vives | tu madre es una puta | te mereces una paliza
 fr: tu es {ins} | {name}, tu es {ins} | vous êtes tous {ins} | espèce de {ins} | ferme ta gueule | ferme ta gueule, {ins} | on va te {kill} | je vais te {kill} | je vais {kill} ta famille | quelqu'un devrait te {kill} | personne ne te regrettera | va te faire foutre | va crever | crève | on sait où tu habites | ta mère est une pute | nique ta mère | tu mérites de mourir
