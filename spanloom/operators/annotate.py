@@ -162,10 +162,12 @@ def resolve_overlaps(df: DataFrame, exclusions_active: bool = False) -> DataFram
     live = rank.where("_active")
     reached = intervals.reach(live, [*GROUP, "_level"], ["start_time", "edf_path", "_seq"], "stop_time", "_reach")
     trimmed = reached.withColumn("start_time", F.greatest("start_time", "_reach")).where("start_time < stop_time").drop("_reach")
+    # a priority without rows needs no islands; there are no more than six
     below = F.filter(F.array(*[F.lit(x) for x in (0, 1, 2, 5)]), lambda x: x < F.col("_level"))
-    higher = live.select(*GROUP, "start_time", "stop_time", F.explode(below).alias("_level"))
-    islands = intervals.merge(higher, [*GROUP, "_level"])
-    kept = intervals.subtract(trimmed, islands, [*GROUP, "_level"], "_seq")
+    present = live.select(F.col("_level").alias("_low")).distinct()
+    higher = live.select(*GROUP, "start_time", "stop_time", F.explode(below).alias("_low")).join(F.broadcast(present), "_low", "left_semi")
+    islands = intervals.merge(higher.withColumnRenamed("_low", "_level"), [*GROUP, "_level"])
+    kept = intervals.subtract(trimmed, islands, [*GROUP, "_level"], "_seq", before=live)
     return kept.select(*COLUMNS, "_seq").unionByName(rank.where("not _active").select(*COLUMNS, "_seq"))
 
 
@@ -187,21 +189,23 @@ def chop(df: DataFrame, size: float = 4.0, preictal_stride: float | None = None,
     Invalid rows and buffers stay; background rows stay if as long as a window; preictal ones
     are cut every preictal_stride (or the adaptive pace), others end to end. Tails go.
     """
-    valid = F.coalesce("is_valid", F.lit(False)) & ~labels.is_buffer(F.col("label"))
-    marked = df.withColumn("_valid", valid)
-    rest = marked.where("not _valid").drop("_valid")
-    live = marked.where("_valid").drop("_valid")
-    is_bg = F.coalesce(F.col("label") == schema.BACKGROUND, F.lit(False))
-    bg = live.where(is_bg & (F.col("stop_time") - F.col("start_time") >= size - schema.EPSILON))
-    others = live.where(~is_bg)
+    label, length = F.col("label"), F.col("stop_time") - F.col("start_time")
+    live = F.coalesce("is_valid", F.lit(False)) & ~labels.is_buffer(label)
+    is_bg = F.coalesce(label == schema.BACKGROUND, F.lit(False))
     if adaptive:
-        step = adaptive_pace(df, size).first()["pace"]
-        pace = F.when(labels.is_preictal(F.col("label")), F.lit(step)).otherwise(F.lit(float(size)))
+        stretch = F.lit(adaptive_pace(df, size).first()["pace"])
     else:
-        pace = F.when(labels.is_preictal(F.col("label")), F.lit(float(preictal_stride or size))).otherwise(F.lit(float(size)))
-    cut = intervals.explode_windows(others.withColumn("_pace", pace), size, F.col("_pace"), schema.EPSILON)
-    cut = cut.withColumn("_seq", seq(5, F.col("_seq.n"), F.col("_seq.stage") * 1_000_000_000 + F.col("_seq.k") * 100_000 + F.col("window")))
-    return rest.unionByName(bg).unionByName(cut.select(*COLUMNS, "_seq"))
+        stretch = F.lit(float(preictal_stride or size))
+    pace = F.when(labels.is_preictal(label), stretch).otherwise(F.lit(float(size)))
+    windows = intervals.window_count(F.col("start_time"), F.col("stop_time"), F.lit(float(size)), pace, schema.EPSILON)
+    # one pass over the rows: whole ones count as one window of their own length
+    whole = (length >= size - schema.EPSILON).cast("int")
+    marked = df.withColumns({"_cut": live & ~is_bg, "_pace": pace, "_count": F.when(~live, 1).when(is_bg, whole).otherwise(windows)})
+    out = marked.where("_count > 0").withColumn("_k", F.explode(F.sequence(F.lit(0), F.col("_count") - 1)))
+    begin = F.col("start_time") + F.col("_k") * F.col("_pace")
+    cut_seq = seq(5, F.col("_seq.n"), F.col("_seq.stage") * 1_000_000_000 + F.col("_seq.k") * 100_000 + F.col("_k"))
+    changed = {"start_time": begin, "stop_time": begin + F.lit(float(size)), "_seq": cut_seq}
+    return out.select(*[F.when(F.col("_cut"), changed[c]).otherwise(F.col(c)).alias(c) if c in changed else F.col(c) for c in [*COLUMNS, "_seq"]])
 
 
 def session_layouts(files: DataFrame) -> DataFrame:

@@ -111,21 +111,25 @@ def reach(df: DataFrame, keys: list[str], order: list[str], column: str, name: s
     return cut.withColumn(name, F.greatest(inside, "_earlier")).drop("_block", "_earlier")
 
 
-def subtract(rows: DataFrame, islands: DataFrame, keys: list[str], row_id: str, start: str = "start_time", stop: str = "stop_time") -> DataFrame:
+def subtract(rows: DataFrame, islands: DataFrame, keys: list[str], row_id: str, start: str = "start_time", stop: str = "stop_time", before: DataFrame | None = None) -> DataFrame:
     """Rows cut by the islands of their group; one row for each piece of positive length.
 
     islands must be disjoint within a group and have the columns keys, start and stop; row_id
     names a column that is different for each row of a group. Only keys and times of rows are
-    brought together with islands, block by block; a row that none meets stays whole.
+    brought together with islands, block by block; a row that none meets stays whole. before,
+    if given, are the same rows with at least their time, from which the meetings are found
+    without the work that shortened them.
     """
-    rows = rows.withColumn("_row", F.struct(*keys, row_id))
+    name = F.struct(*keys, row_id)
+    wide = (rows if before is None else before).select(name.alias("_row"), *keys, start, stop)
+    rows = rows.withColumn("_row", name)
     cuts = islands.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col(start).alias("_a"), F.col(stop).alias("_b"))
-    met = overlapping(rows.select("_row", *keys, start, stop), cuts, keys, start, stop)
+    met = overlapping(wide, cuts, keys, start, stop)
     met = met.groupBy(F.col("_row").alias("_met")).agg(F.array_sort(F.collect_list(F.struct("_a", "_b"))).alias("_cuts"))
     # pieces lie between the ends of cuts, from the row's start to its stop
     cut = F.coalesce("_cuts", F.array().cast("array<struct<_a:double,_b:double>>"))
-    begins = F.concat(F.array(F.col(start).cast("double")), F.transform(cut, lambda c: c["_b"]))
-    finishes = F.concat(F.transform(cut, lambda c: c["_a"]), F.array(F.col(stop).cast("double")))
+    begins = F.concat(F.array(F.col(start).cast("double")), F.transform(cut, lambda c: F.greatest(F.col(start), c["_b"])))
+    finishes = F.concat(F.transform(cut, lambda c: F.least(F.col(stop), c["_a"])), F.array(F.col(stop).cast("double")))
     pieces = F.filter(F.arrays_zip(begins.alias("a"), finishes.alias("b")), lambda p: p["b"] > p["a"])
     out = rows.join(met, F.col("_row").eqNullSafe(F.col("_met")), "left").withColumn("_piece", F.explode(pieces))
     return out.withColumns({start: F.col("_piece.a"), stop: F.col("_piece.b")}).drop("_row", "_met", "_cuts", "_piece")
