@@ -44,6 +44,11 @@ def _master(df: DataFrame) -> DataFrame:
     return _rounded(df.select(*MASTER), *_TIMES)
 
 
+def _session_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Annotators' rows in session time, written once for operators that read them several times."""
+    return materialize(A.session_rows(spark, d), "session-rows")
+
+
 _OUT = "edf_path, csv_path, split, session_key, channel, round(start_time, 6) as start_time, round(stop_time, 6) as stop_time, label, confidence, is_valid, status"
 
 
@@ -194,13 +199,13 @@ _EXCLUDED = f"{A.EV}, excluded as (select {A._C}, start_time, stop_time, label,
 
 @query(f"with {_EXCLUDED}, {A.resolved_sql('excluded')} select {_OUT} from res")
 def add_exclusions(spark: SparkSession, d: str) -> DataFrame:
-    return _master(annotate.add_exclusions(materialize(A.session_rows(spark, d), "session-rows"), A.POSTICTAL))
+    return _master(annotate.add_exclusions(_session_rows(spark, d), A.POSTICTAL))
 
 
 @query(f"with {_EXCLUDED}, {A.resolved_sql('excluded', "starts_with(label, 'x')")} select {_OUT} from res")
 def add_exclusions_active(spark: SparkSession, d: str) -> DataFrame:
     """Exclusions take their time from other rows."""
-    return _master(annotate.add_exclusions(materialize(A.session_rows(spark, d), "session-rows"), A.POSTICTAL, active=True))
+    return _master(annotate.add_exclusions(_session_rows(spark, d), A.POSTICTAL, active=True))
 
 
 @query(f"""
@@ -222,11 +227,11 @@ def interictal_gaps(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"with {A.EV} select {_OUT} from bg")
 def background_windows(spark: SparkSession, d: str) -> DataFrame:
-    return _master(annotate.background_rows(A.session_rows(spark, d), A.layouts(spark, d), A.WINDOW))
+    return _master(annotate.background_rows(_session_rows(spark, d), A.layouts(spark, d), A.WINDOW))
 
 
 def _mixed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    rows, lay = materialize(A.session_rows(spark, d), "session-rows"), A.layouts(spark, d)
+    rows, lay = _session_rows(spark, d), A.layouts(spark, d)
     mixed = annotate.add_preictal(rows, A.PREICTAL, A.BUFFER, A.POSTICTAL).unionByName(annotate.postictal_rows(rows, A.POSTICTAL, A.PREICTAL))
     return materialize(mixed.unionByName(annotate.background_rows(rows, lay, A.WINDOW)), "labelled-rows"), lay
 

@@ -186,6 +186,9 @@ def test_overlapping_and_subtract_by_brute_force(spark):
             want.append((str(k), i, at, b))
     got = [(str(r["k"]), r["id"], r["start_time"], r["stop_time"]) for r in intervals.subtract(left, right, ["k"], "id").collect()]
     assert sorted(got) == sorted(want)
+    whole = left.withColumn("start_time", F.col("start_time") - 70).withColumn("stop_time", F.col("stop_time") + 3)
+    shortened = intervals.subtract(left, right, ["k"], "id", before=whole).collect()
+    assert sorted((str(r["k"]), r["id"], r["start_time"], r["stop_time"]) for r in shortened) == sorted(want)
     pairs = intervals.overlapping(left, right.toDF("_k", "_a", "_b"), ["k"]).count()
     assert pairs == sum(a < y and b > x and b > a for k, _, a, b in rows for q, x, y in islands if q == k)
 
@@ -207,3 +210,25 @@ def test_rows_before_and_after_over_blocks(spark):
             assert after[k, d[1]] == (rows[i + 1][1] if i + 1 < len(rows) else None)
             assert reach[k, d[1]] == max((x[3] for x in rows[:i]), default=None)
     assert intervals.reach(df.limit(0), ["k"], order, "stop_time", "reach").count() == 0
+
+
+def test_chop_keeps_whole_rows_and_drops_what_is_too_short(spark):
+    rows = [(0, 3.9, "bg"), (0, 4, "bg"), (10, 19, "bg"), (0, 3, "fnsz"), (20, 32.5, "fnsz"), (40, 41, "xfnsz", "a.edf", False), (50, 51, "pfnsz_sopbuffer"), (60, 70, "pfnsz")]
+    df = master(spark, rows)
+    want = [("bg", 0, 4), ("bg", 10, 19), ("fnsz", 20, 24), ("fnsz", 24, 28), ("fnsz", 28, 32), ("pfnsz", 60, 64), ("pfnsz", 63, 67), ("pfnsz", 66, 70), ("pfnsz_sopbuffer", 50, 51), ("xfnsz", 40, 41)]
+    got = annotate.chop(df, 4.0, preictal_stride=3.0)
+    assert got.columns == [*annotate.COLUMNS, "_seq"]
+    assert sorted((r["label"], r["start_time"], r["stop_time"]) for r in got.collect()) == want
+    assert got.select("_seq").distinct().count() == len(want)
+    timeless = df.withColumn("stop_time", F.lit(None).cast("double"))
+    assert sorted(r["label"] for r in annotate.chop(timeless, 4.0).collect()) == ["pfnsz_sopbuffer", "xfnsz"]
+    assert annotate.chop(df.withColumn("label", F.lit(None).cast("string")), 4.0).where("is_valid").count() == 1 + 2 + 3 + 2  # of 4, 9, 12.5 and 10 s
+    assert annotate.chop(df.limit(0), 4.0).count() == 0
+
+
+def test_resolve_without_some_priorities(spark):
+    lowest = master(spark, [(0, 20, "interictal"), (5, 8, "pfnsz")])
+    assert seen(annotate.resolve_overlaps(lowest)) == [("interictal", 0, 5, True), ("interictal", 8, 20, True), ("pfnsz", 5, 8, True)]
+    single = master(spark, [(0, 10, "fnsz"), (4, 12, "fnsz")])
+    assert seen(annotate.resolve_overlaps(single)) == [("fnsz", 0, 10, True), ("fnsz", 10, 12, True)]
+    assert annotate.resolve_overlaps(single.limit(0)).count() == 0
